@@ -198,14 +198,17 @@ def q_overlap_count_ordered(t):
     return overlap_count(t.call_rows, t.calendar, "ordered")
 
 
-def _flagged(t, bounds="ordered"):
+RANKS = {"ranking_call": [], "ranking_product": ["brd_nm"], "ranking_ta": ["ta"]}
+
+
+def _flagged(t, bounds="ordered", add=fl.first_flags, grains=FLAG_GRAINS):
     counts = overlap_count(t.call_rows, t.calendar, bounds)
     hot = heavy_keys([t.call_rows.select("call_id")])
     calls = look.lookup(t.calls.repartition("call_id"), counts, {"call_id": "call_id"}, balanced=True)
     rows = attribute(calls, t.calendar)
     order = [c for c in TIEBREAK_LEAD if c in rows.columns]
     order += [c for c in rows.columns if c not in [*order, "n"]]
-    return fl.first_flags(rows, "call_id", fl.deciding_date(), order, hot=[row["call_id"] for row in hot])
+    return add(rows, "call_id", fl.deciding_date(), order, grains, [row["call_id"] for row in hot])
 
 
 @register
@@ -218,6 +221,11 @@ def q_first_flags_as_written(t):
     return _flagged(t, "as_written").select(*CALL_KEY, "call_dt", "spl_cyc", "cycle_end", *FLAG_GRAINS)
 
 
+@register
+def q_row_numbers(t):
+    return _flagged(t, add=fl.row_numbers, grains=RANKS).select(*CALL_KEY, "call_dt", "spl_cyc", "cycle_end", *RANKS)
+
+
 @register
 def q_metric_rollup(t):
     return fl.metric_rollup(_flagged(t), ["afl_id", "ta"])
@@ -284,9 +292,8 @@ def q_geo_uki_self_join(t):
 
 @register
 def q_region_reference(t):
-    found = look.lookup(t.calls, t.countries, {"cntry_id": "src_cntry_id", "afl_id": "afl_id"})
-    reference = look.region_reference(t.read("fx_geo_ref"))
-    found = look.lookup(found, reference, {"ref_affiliate": "afl_id", "ref_country": F.upper("country_name")})
+    countries = look.country_dimension(t.read("fx_cntry"), t.read("fx_geo_ref"))
+    found = look.lookup(t.calls, countries, {"cntry_id": "src_cntry_id", "afl_id": "afl_id"})
     return found.select(*CALL_KEY, "country_name", "global_region_name", "global_subregion_name")
 
 

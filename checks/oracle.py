@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.catalog import AFFILIATE, CALL_KEY, DATA_SOURCE, THERAPY_AREAS
+from checks.catalog import AFFILIATE, CALL_KEY, DATA_SOURCE, RANKS, THERAPY_AREAS
 from checks.fixtures import CALL_RULES, with_clause
 from fieldmart.plans.product import TIEBREAK
 from fieldmart.schema import CALL_COLUMNS, FLAG_GRAINS, GEO_COLUMNS, HISTORY_COLUMNS, OUTPUT, SAMPLE_COLUMNS, TIEBREAK_LEAD
@@ -87,6 +87,13 @@ def _flags(columns: list[str]) -> str:
     )
 
 
+def _ranks(columns: list[str]) -> str:
+    return ", ".join(
+        f"row_number() OVER (PARTITION BY {', '.join(['call_id', *finer])} ORDER BY {_order(columns)}) AS {rank}"
+        for rank, finer in RANKS.items()
+    )
+
+
 _columns = [*CALL_RULES, "spl_cyc", "cycle_end"]
 _lead = [c for c in TIEBREAK_LEAD if c in _columns]
 _small_order = _lead + [c for c in _columns if c not in _lead]
@@ -94,7 +101,7 @@ _small_order = _lead + [c for c in _columns if c not in _lead]
 
 def _flagged(counts: str) -> str:
     return f"""WITH {CALLS}, {CYCLES}, {ATTRIBUTED}, {counts},
-flagged AS (SELECT a.*, {_flags(_small_order)} FROM
+flagged AS (SELECT a.*, {_flags(_small_order)}, {_ranks(_small_order)} FROM
     (SELECT attributed.*, counts.n FROM attributed LEFT JOIN counts ON attributed.call_id = counts.call_id) a)"""
 
 
@@ -191,8 +198,8 @@ STATEMENTS = {
     "q_first_flags": f"{_flagged(ORDERED)} SELECT {KEY}, call_dt, spl_cyc, cycle_end, {', '.join(FLAG_GRAINS)} FROM flagged",
     "q_first_flags_as_written": f"""{_flagged(AS_WRITTEN)}
         SELECT {KEY}, call_dt, spl_cyc, cycle_end, {', '.join(FLAG_GRAINS)} FROM flagged""",
-    # The sums by their meaning: how many groups there are, whichever row carries the flag, is
-    # fixed per call; where a call spans several areas the first row decides, as above.
+    "q_row_numbers": f"""{_flagged(ORDERED)}
+        SELECT {KEY}, call_dt, spl_cyc, cycle_end, {', '.join(RANKS)} FROM flagged""",
     "q_metric_rollup": f"""{_flagged(ORDERED)} SELECT afl_id, ta,
         {', '.join(f'cast(sum({flag}) AS bigint) AS {flag}' for flag in FLAG_GRAINS)} FROM flagged GROUP BY afl_id, ta""",
     "q_latest_snapshot": f"""WITH {CALLS}, {COUNTRY} SELECT {C_KEY}, k.country_name FROM calls c

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldmart.functions import normalise as n
 from fieldmart.limits import DEFAULT, Limits
 from fieldmart.operators.sizing import fits
-from fieldmart.operators.skew import spread_left_join
+from fieldmart.operators.skew import heavy_keys, spread_left_join
 from fieldmart.schema import GEO_COLUMNS
 
 # Affiliate and hierarchy codes with rules of their own.
@@ -27,6 +27,7 @@ def lookup(
     small: bool | None = None,
     balanced: bool = False,
     hot: list[Row] | None = None,
+    keys_from: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """LEFT JOIN dim ON dim key = value on the row, for rows where `when` holds.
@@ -34,8 +35,9 @@ def lookup(
     Keeps every row once per match, and once with NULLs where there is none. `on` maps each key
     column of dim to a column or expression of df; the key columns of dim are not kept.
     `small` says whether dim may be broadcast; if not given, it is measured. A dim that is not
-    small is joined by shuffle with hot keys split (`hot`, as spread_left_join takes it), or plainly
-    when the caller states that no key is hot (`balanced`).
+    small is joined by shuffle, plainly when the caller states that no key is hot (`balanced`), and
+    otherwise with hot keys split. These are `hot`, as spread_left_join takes it, or are counted
+    on `keys_from`: any rows with the columns `on` reads, best a plain scan instead of all of df.
     """
     keys = {f"__key_{i}": (dim_key, value) for i, (dim_key, value) in enumerate(on.items())}
     if small is None and not balanced and hot is None:
@@ -55,6 +57,9 @@ def lookup(
         joined = df.withColumns(made) if made else df
         return joined.join(side, reduce(Column.__and__, condition), "left").drop(*keys, *made)
     left = df.withColumns({key: _guarded(value, when) for key, (_, value) in keys.items()})
+    if hot is None and keys_from is not None:
+        counted = keys_from.select(*[_guarded(value, None).alias(key) for key, (_, value) in keys.items()])
+        hot = heavy_keys([counted, dim.select(*keys)], limits)
     return spread_left_join(left, dim, list(keys), hot=hot, limits=limits).drop(*keys)
 
 
@@ -148,6 +153,16 @@ def region_reference(reference: DataFrame) -> DataFrame:
     )
 
 
+def country_dimension(country: DataFrame, reference: DataFrame) -> DataFrame:
+    """Countries of the newest batch with the regions found by affiliate and country name.
+
+    The region depends on the country row alone, so the two lookups of a call become one.
+    """
+    newest = latest_snapshot(country, "pt_batch_id").drop("pt_batch_id")
+    same = (F.col("afl_id") == F.col("ref_affiliate")) & (F.upper("country_name") == F.col("ref_country"))
+    return newest.join(region_reference(reference), same, "left").drop("ref_affiliate", "ref_country")
+
+
 def listed_products(products: DataFrame) -> DataFrame:
     wanted = products.select("source_product_name", "promotional_call_yn").distinct()
     return wanted.select(

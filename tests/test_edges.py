@@ -1,0 +1,303 @@
+"""Hand-made rows for the cases where the product's text and its intent differ, or NULLs decide."""
+
+from datetime import date, datetime
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from fieldmart.functions import normalise as n
+from fieldmart.operators import calendar as cal
+from fieldmart.operators import lookups as look
+from fieldmart.operators.attribution import attribute, overlap_count
+from fieldmart.operators.flags import deciding_date, first_flags
+from fieldmart.operators.waterfall import waterfall
+from fieldmart.plans.product import in_scope
+from fieldmart.params import JobParams
+from fieldmart.schema import FLAG_GRAINS, GEO_COLUMNS
+from fieldmart.session import shuffle_partitions
+from fieldmart.sources.tables import table_name
+
+CALENDAR = "afl_id string, ta string, spl_cyc string, strt_dt timestamp_ntz, end_dt timestamp_ntz"
+CALLS = "call_id string, ta string, afl_id string, call_dt timestamp_ntz"
+BUCKETS = "bckt_cd string, sbjct_area string, time_perd_strt_dt date, time_perd_end_dt date"
+
+
+def day(text, hour=0):
+    return datetime.fromisoformat(text).replace(hour=hour)
+
+
+def test_text_flags(spark):
+    df = spark.createDataFrame([("true",), ("TRUE",), ("False",), ("x",), (None,)], "c string")
+    assert [r[0] for r in df.select(n.text_flag(F.col("c"))).collect()] == [1, 1, 0, None, None]
+
+
+def test_interaction_type(spark):
+    df = spark.createDataFrame([("null",), ("NULL",), (None,), ("Phone",)], "c string")
+    assert [r[0] for r in df.select(n.interaction_type(F.col("c"))).collect()] == ["F2F", "F2F", "F2F", "Phone"]
+
+
+def test_promotional(spark):
+    df = spark.createDataFrame([(None, "Y"), ("a", "N"), ("a", None), ("a", "Y")], "p string, f string")
+    assert [r[0] for r in df.select(n.promotional(F.col("p"), F.col("f"))).collect()] == ["N", "N", "Y", "Y"]
+
+
+def test_cycle_label(spark):
+    df = spark.createDataFrame([("CC",), ("PC",), ("PPC",), ("Q1",), (None,)], "c string")
+    labels = [r[0] for r in df.select(n.cycle_label(F.col("c"))).collect()]
+    assert labels == ["current cycle", "previous cycle", "previous to previous cycle", "Q1", None]
+
+
+def test_city_key(spark):
+    df = spark.createDataFrame([(" Bonn , Nord, West",), ("Köln",), (",x",), (None,)], "c string")
+    assert [r[0] for r in df.select(n.city_key(F.col("c"))).collect()] == ["BONN", "KÖLN", "", None]
+
+
+@pytest.mark.parametrize("code", ["DE", "IT", "FR", "UKI", "JP", "SS"])
+def test_spellings_are_all_and_only_the_texts_with_that_upper_case(spark, code):
+    listed = n.spellings(code)
+    df = spark.createDataFrame([(s,) for s in listed], "c string")
+    assert df.where(F.upper("c") == code).count() == len(listed)
+    # Any text of up to two characters with this upper case is in the list.
+    chars = spark.range(1, 0xD800).select(F.expr("decode(encode(char(id), 'UTF-8'), 'UTF-8')").alias("c"))
+    if len(code) == 2:
+        single = chars.where(F.upper("c") == code)
+        assert {r[0] for r in single.collect()} <= set(listed)
+    assert {code, code.lower(), code.title()} <= set(listed)
+
+
+def test_long_codes_are_compared_only():
+    assert n.spellings("A" * 40) is None
+
+
+def test_affiliate_scope_ignores_case_but_later_rules_do_not(spark):
+    df = spark.createDataFrame([("it", "A"), ("IT", None), ("ıt", "B"), ("DE", "A"), (None, "A")], "afl_id string, ta string")
+    kept = in_scope(df, JobParams(affiliate="IT", therapy_areas=("A", "B", "UNASSIGNED_TA")))
+    assert rows(kept) == [("IT", None), ("it", "A"), ("ıt", "B")]
+    bounds = spark.createDataFrame([("P4MC", "ACTIVITY", date(2024, 3, 1), date(2024, 6, 30))], BUCKETS)
+    none = spark.createDataFrame([], CALENDAR)
+    rolled = cal.build_calendar(none, kept, bounds).where("spl_cyc <> 'CC'")
+    assert {r["afl_id"] for r in rolled.collect()} == {"IT"}
+
+
+def test_therapy_area_default(spark):
+    df = spark.createDataFrame([("x",), (None,), ("onc",)], "ta string")
+    assert rows(df.where(n.in_list_with_default(F.col("ta"), ["ONC", "UNASSIGNED_TA"]))) == [("onc",), (None,)]
+
+
+def test_bucket_bounds_are_independent_and_empty_gives_one_null_row(spark):
+    buckets = spark.createDataFrame(
+        [
+            ("4MC", "Activity", date(2024, 5, 1), date(2024, 6, 30)),
+            ("4MC", "ACTIVITY", date(2024, 1, 1), date(2024, 8, 31)),
+            ("4MC", "SALES", date(2025, 1, 1), date(2025, 8, 31)),
+        ],
+        BUCKETS,
+    )
+    assert rows(cal.bucket_bounds(buckets, "4MC")) == [(day("2024-05-01"), day("2024-08-31"))]
+    assert rows(cal.bucket_bounds(buckets, "P4MC")) == [(None, None)]
+    keys = spark.createDataFrame([("DE", "A")], "afl_id string, ta string")
+    empty = spark.createDataFrame([], CALENDAR)
+    made = cal.build_calendar(empty, keys, buckets.where("bckt_cd = 'none'"))
+    assert rows(made) == [("DE", "A", "CC", None, None)]
+    call = spark.createDataFrame([("1", "A", "DE", day("2024-05-01"))], CALLS)
+    assert rows(attribute(call, made).select("spl_cyc")) == [(None,)]
+
+
+def test_shift_clamps_to_month_end(spark):
+    bounds = spark.createDataFrame([(day("2024-07-31"), day("2024-06-30"))], "strt_dt timestamp_ntz, end_dt timestamp_ntz")
+    assert rows(cal.shifted(bounds)) == [(day("2024-03-31"), day("2024-02-29"))]
+
+
+def test_calendar_of_rolled_affiliate_and_null_keys(spark):
+    plan = spark.createDataFrame(
+        [
+            ("IT", "A", "CC", day("2024-05-01"), day("2024-08-31")),
+            ("IT", "A", "PC", day("2024-01-01"), day("2024-04-30")),
+            ("DE", "A", "PC", day("2024-01-01"), day("2024-04-30")),
+            (None, "A", "CC", day("2024-01-01"), day("2024-04-30")),
+            ("DE", None, "CC", day("2024-01-01"), day("2024-04-30")),
+        ],
+        CALENDAR,
+    )
+    keys = spark.createDataFrame([("IT", "A"), ("DE", "A"), ("DE", None)], "afl_id string, ta string")
+    buckets = spark.createDataFrame(
+        [
+            ("4MC", "ACTIVITY", date(2024, 9, 1), date(2024, 12, 31)),
+            ("P4MC", "ACTIVITY", date(2024, 5, 1), date(2024, 8, 31)),
+        ],
+        BUCKETS,
+    )
+    current = (day("2024-09-01"), day("2024-12-31"))
+    assert rows(cal.build_calendar(plan, keys, buckets)) == sorted(
+        [
+            ("IT", "A", "CC", day("2024-05-01"), day("2024-08-31")),
+            ("DE", "A", "PC", day("2024-01-01"), day("2024-04-30")),
+            ("DE", None, "CC", day("2024-01-01"), day("2024-04-30")),
+            ("DE", "A", "CC", *current),
+            ("DE", None, "CC", *current),
+            ("IT", "A", "PC", day("2024-05-01"), day("2024-08-31")),
+            ("IT", "A", "PPC", day("2024-01-01"), day("2024-04-30")),
+        ],
+        key=repr,
+    )
+
+
+def test_call_with_time_on_last_day_is_outside(spark):
+    cycles = spark.createDataFrame([("DE", "A", "CC", day("2024-01-01"), day("2024-04-30"))], CALENDAR)
+    calls = spark.createDataFrame(
+        [("1", "A", "DE", day("2024-04-30")), ("2", "A", "DE", day("2024-04-30", 10)), ("3", None, "DE", day("2024-02-01"))],
+        CALLS,
+    )
+    assert rows(attribute(calls, cycles).select("call_id", "spl_cyc")) == [("1", "CC"), ("2", None), ("3", None)]
+
+
+def test_overlap_count_both_ways(spark):
+    cycles = spark.createDataFrame(
+        [
+            ("DE", "A", "C1", day("2024-01-01"), day("2024-04-30")),
+            ("DE", "A", "C2", day("2024-02-01"), day("2024-05-31")),
+            ("DE", "A", "C3", day("2024-02-10"), day("2024-02-10")),
+            ("DE", "A", "C4", day("2024-03-01"), day("2024-02-01")),
+        ],
+        CALENDAR,
+    )
+    calls = spark.createDataFrame(
+        [("1", "A", "DE", day("2024-02-10")), ("1", "A", "DE", day("2024-01-05")), ("2", "A", "DE", day("2025-01-01"))], CALLS
+    )
+    assert rows(overlap_count(calls, cycles, "ordered")) == [("1", 3), ("2", 0)]
+    assert rows(overlap_count(calls, cycles, "as_written")) == [("1", 2), ("2", 0)]
+    assert rows(overlap_count(calls, cycles, "as_written", keep_zero=False)) == [("1", 2)]
+
+
+def test_exactly_one_flag_per_group_under_ties(spark):
+    made = [
+        ("1", brand, ta, "C%d" % i, day("2024-04-30"), n)
+        for i in range(3)
+        for brand in ("x", "y", None)
+        for ta in ("A", None)
+        for n in (2,)
+    ]
+    made += [(None, "x", "A", None, None, None)] * 3
+    df = spark.createDataFrame(made, "call_id string, brd_nm string, ta string, spl_cyc string, cycle_end timestamp_ntz, n long")
+    flagged = first_flags(df, "call_id", deciding_date(), ["brd_nm", "ta", "spl_cyc"])
+    for flag, finer in FLAG_GRAINS.items():
+        sums = flagged.groupBy("call_id", *finer).agg(F.sum(flag).alias("s")).collect()
+        assert [r["s"] for r in sums] == [1] * len(sums), flag
+
+
+def test_latest_end_decides_unless_one_cycle(spark):
+    made = [("1", "a", day("2024-01-31"), 2), ("1", "b", day("2024-04-30"), 2), ("2", "a", day("2024-01-31"), 1), ("2", "b", day("2024-04-30"), 1)]
+    df = spark.createDataFrame(made, "call_id string, brd_nm string, cycle_end timestamp_ntz, n long")
+    flagged = first_flags(df, "call_id", deciding_date(), ["brd_nm"], {"f": []})
+    assert rows(flagged.where("f = 1").select("call_id", "brd_nm")) == [("1", "b"), ("2", "a")]
+
+
+def test_snapshot_and_country_without_row_in_newest_batch(spark):
+    country = spark.createDataFrame(
+        [("C1", "Old", "DE", 1), ("C1", "Neu", "DE", 2), ("C2", "Gone", "DE", 1)],
+        "cntry_id string, country_name string, afl_id string, pt_batch_id int",
+    )
+    assert rows(look.latest_snapshot(country, "pt_batch_id")) == [("C1", "Neu", "DE", 2)]
+    reference = spark.createDataFrame(
+        [("EU", "DACH", "DE", "NEU"), ("EU", "DACH", "DE", "NEU"), ("EU", "X", "FR", "NEU")],
+        "global_region_name string, global_subregion_name string, affiliate_code string, country_name string",
+    )
+    assert rows(look.country_dimension(country, reference)) == [("C1", "Neu", "DE", "EU", "DACH")]
+
+
+def test_lookup_keeps_rows_and_never_matches_null(spark):
+    left = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    right = spark.createDataFrame([("a", "x"), ("a", "y"), (None, "z")], "key string, w string")
+    for small in (True, False):
+        found = look.lookup(left, right, {"key": "k"}, small=small)
+        assert rows(found) == [("a", 1, "x"), ("a", 1, "y"), ("b", 3, None), (None, 2, None)]
+        found = look.lookup(left, right, {"key": F.upper("k")}, small=small)
+        assert found.where("w is not null").count() == 0
+        found = look.lookup(left, right, {"key": "k"}, when=F.col("v") > 1, small=small)
+        assert found.where("w is not null").count() == 0 and found.count() == 3
+
+
+def test_active_customer_is_one_row_per_id(spark):
+    customers = spark.createDataFrame(
+        [("1", None, "b", "y"), ("1", "a", None, "Y"), ("1", "0", "x", "N"), (None, "a", "a", "Y"), ("2", None, None, "y")],
+        "eid string, primary_address_line_3 string, primary_address_line_4 string, edw_actv_flg string",
+    )
+    assert rows(look.active_customers(customers)) == [("1", "a", None), ("2", None, None)]
+
+
+def test_geography_keeps_duplicates_of_plain_rows_only(spark):
+    def row(affiliate, kind, brick, name, level):
+        values = {c: None for c in GEO_COLUMNS}
+        values["affiliate_subterritory_name"] = name
+        values["subterritory_hiearachy_level_1"] = "s" + level
+        values["brick_hierarchy_level_1"] = "b" + level
+        return (affiliate, brick, "n", "A", *values.values(), kind, "Y")
+
+    schema = "afl_id string, brik_id string, brik_nm string, ta string, " + ", ".join(f"{c} string" for c in GEO_COLUMNS)
+    geo = spark.createDataFrame(
+        [row("DE", "GEOGRAPHY", "1", "n1", "1")] * 2
+        + [row("UKI", "ANALYSIS GROUP", "1", "n1", "2")] * 2
+        + [row("UKI", "GEOGRAPHY", "9", "n1", "3"), row("UKI", "GEOGRAPHY", "8", "n1", "4")]
+        + [row("UKI", "ANALYSIS GROUP", "2", "n2", "5"), row("DE", "ANALYSIS GROUP", "1", "n1", "6")],
+        schema + ", hier_type string, is_actv string",
+    )
+    found = look.geo_dimension(geo).select("afl_id", "brik_id", "subterritory_hiearachy_level_1", "brick_hierarchy_level_1")
+    assert rows(found) == sorted(
+        [("DE", "1", None, "b1")] * 2
+        + [("UKI", "1", "s3", "b2"), ("UKI", "1", "s4", "b2"), ("UKI", "2", None, "b5")],
+        key=repr,
+    )
+
+
+PLZ = "plz string, ort string, ortkurz string, ims string"
+ADDRESS = "id int, pri_zip string, pri_city string, afl_id string"
+
+
+def test_waterfall(spark):
+    mapping = spark.createDataFrame(
+        [
+            ("1", "A", "A", "L1"),  # one value
+            ("2", "A", "A", "L1"),  # one value and NULL: two rows
+            ("2", "B", "B", None),
+            ("3", "A", "x", "L1"),  # several values, by city or short name
+            ("3", "B", " b2 ", "L2"),
+            ("4", "A", "A", None),  # only NULL counts as several
+            ("5", "A", "A", "L1"),  # place with a value and a NULL: both steps
+            ("5", "A", "A", None),
+            ("5", "C", "C", "L2"),
+        ],
+        PLZ,
+    )
+    calls = spark.createDataFrame(
+        [
+            (1, "1", "Z", "DE"),
+            (2, "2", None, "DE"),
+            (3, "3", " a, north", "DE"),
+            (4, "3", "B2", "DE"),
+            (5, "3", "none", "DE"),
+            (6, "4", "A", "DE"),
+            (7, "5", "A", "DE"),
+            (8, " 1", "A", "DE"),  # the count is looked up untrimmed
+            (9, "1", "A", "FR"),
+            (10, None, "A", "DE"),
+            (11, "77", "A", "DE"),
+        ],
+        ADDRESS,
+    )
+    expected = [
+        (1, 1, "L1"), (10, None, None), (11, None, None), (2, 1, "L1"), (2, 1, None), (3, 2, "L1"), (4, 2, "L2"),
+        (5, 2, None), (6, 0, None), (7, 2, "L1"), (7, 2, "L1"), (7, 2, None), (8, None, None), (9, None, None),
+    ]
+    assert rows(waterfall(calls, mapping).select("id", "ims_cnt", "ims")) == sorted(expected, key=repr)
+
+
+def test_table_names():
+    assert table_name("db.{region}_calls", "eu") == "db.eu_calls"
+    with pytest.raises(ValueError):
+        table_name("db.{region}_calls", "x; drop table y")
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(100 * 1024**4, 4000) == 412000
