@@ -17,7 +17,8 @@ from fieldmart.operators.attribution import attribute, overlap_count
 from fieldmart.operators.skew import heavy_keys
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product, final_projection
-from fieldmart.schema import CYCLE_COLUMNS, FLAG_GRAINS, OUTPUT, TIEBREAK_LEAD, WALL_CLOCK
+from fieldmart.schema import CYCLE_COLUMNS, FLAG_GRAINS, OUTPUT, TIEBREAK, WALL_CLOCK
+from fieldmart.session import tune
 from fieldmart.sources.tables import map_all, mapped, mapped_table
 
 AFFILIATE = "DE"
@@ -206,7 +207,7 @@ def _flagged(t, bounds="ordered", add=fl.first_flags, grains=FLAG_GRAINS):
     hot = heavy_keys([t.call_rows.select("call_id")])
     calls = look.lookup(t.calls.repartition("call_id"), counts, {"call_id": "call_id"}, balanced=True)
     rows = attribute(calls, t.calendar)
-    order = [c for c in TIEBREAK_LEAD if c in rows.columns]
+    order = [c for c in TIEBREAK if c in rows.columns]
     order += [c for c in rows.columns if c not in [*order, "n"]]
     return add(rows, "call_id", fl.deciding_date(), order, grains, [row["call_id"] for row in hot])
 
@@ -339,6 +340,7 @@ def q_plz_waterfall(t):
 
 
 def product(t, **options) -> DataFrame:
+    tune(t.spark)
     tables = map_all({name: t.read(fixture) for name, fixture in fixtures.PRODUCT_TABLES.items()})
     return build_product(tables, JobParams(data_source=DATA_SOURCE, **options))
 

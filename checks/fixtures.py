@@ -60,9 +60,12 @@ CALLS_FROM = f"""
 
 
 def _calls(columns: list[str]) -> str:
-    plain = text("c_custkey % 10")
-    rules = [f"{CALL_RULES.get(c) or repr(c + '-') + ' || ' + plain} AS {c}" for c in columns]
-    return "SELECT " + ",\n    ".join(rules) + CALLS_FROM
+    # Plain text columns depend on the customer alone and are made before the joins.
+    plain = [c for c in columns if c not in CALL_RULES]
+    made = "".join(f", '{c}-' || {text('c_custkey % 10')} AS {c}" for c in plain)
+    rules = [f"{CALL_RULES.get(c, c)} AS {c}" for c in columns]
+    source = CALLS_FROM.replace("{customer} c", f"(SELECT c_custkey, c_nationkey{made} FROM {{customer}}) c")
+    return "SELECT " + ",\n    ".join(rules) + source
 
 
 _sample_text = ", ".join(

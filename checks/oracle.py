@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from checks.catalog import AFFILIATE, CALL_KEY, DATA_SOURCE, RANKS, THERAPY_AREAS
 from checks.fixtures import CALL_RULES, with_clause
-from fieldmart.plans.product import TIEBREAK
-from fieldmart.schema import CALL_COLUMNS, FLAG_GRAINS, GEO_COLUMNS, HISTORY_COLUMNS, OUTPUT, SAMPLE_COLUMNS, TIEBREAK_LEAD
+from fieldmart.schema import CALL_COLUMNS, FLAG_GRAINS, GEO_COLUMNS, HISTORY_COLUMNS, OUTPUT, PACKED, SAMPLE_COLUMNS, TIEBREAK
 
 AREAS = ", ".join(f"'{a}'" for a in THERAPY_AREAS)
 KEY = ", ".join(CALL_KEY)
@@ -74,7 +73,7 @@ GEO = f"""{SPLIT_GEO}, geo AS (SELECT * FROM split_geo UNION ALL SELECT afl_id,
 
 def _order(columns: list[str]) -> str:
     return "CASE WHEN n = 1 THEN NULL ELSE cycle_end END DESC NULLS LAST, " + ", ".join(
-        f"{c} ASC NULLS LAST" for c in columns
+        f"{c} ASC NULLS FIRST" for c in columns
     )
 
 
@@ -95,7 +94,7 @@ def _ranks(columns: list[str]) -> str:
 
 
 _columns = [*CALL_RULES, "spl_cyc", "cycle_end"]
-_lead = [c for c in TIEBREAK_LEAD if c in _columns]
+_lead = [c for c in TIEBREAK if c in _columns]
 _small_order = _lead + [c for c in _columns if c not in _lead]
 
 
@@ -105,6 +104,9 @@ flagged AS (SELECT a.*, {_flags(_small_order)}, {_ranks(_small_order)} FROM
     (SELECT attributed.*, counts.n FROM attributed LEFT JOIN counts ON attributed.call_id = counts.call_id) a)"""
 
 
+WHOLE_ORDER = [c for name in TIEBREAK for c in PACKED.get(name, [name])]
+
+
 # Postal waterfall over `source`, which has pri_zip, pri_city and afl_id.
 def _waterfall(source: str) -> str:
     city = "upper(trim(regexp_replace(f.pri_city, ',.*', '', 'g')))"
@@ -155,12 +157,12 @@ def _product(bounds: tuple[str, str], late: bool = False, scope: str = "true", p
     LEFT JOIN geo g ON g.brik_id = c.brik_id AND g.afl_id = c.afl_id AND g.ta = c.ta
     LEFT JOIN region_ref r ON r.affiliate_code = k.afl_id AND upper(r.country_name) = upper(k.country_name)
     LEFT JOIN listed l ON upper(l.source_product_name) = upper(c.src_prod_nm))"""
-    flags_now = "joined.*" if late else f"joined.*, {_flags(TIEBREAK)}"
+    flags_now = "joined.*" if late else f"joined.*, {_flags(WHOLE_ORDER)}"
     segments = f"""fact AS (SELECT f.*, p.sgmnt_prty AS prioritization FROM (SELECT {flags_now} FROM joined) f
     LEFT JOIN plan p ON p.ta = f.ta AND p.afl_id = f.afl_id AND p.spl_cyc = f.spl_cyc AND p.cust_id = f.cust_id)"""
     end = "SELECT * FROM resolved"
     if late:
-        end = f"SELECT resolved.*, {_flags([*TIEBREAK, 'prioritization', 'ims'])} FROM resolved"
+        end = f"SELECT resolved.*, {_flags([*WHOLE_ORDER, 'prioritization', 'ims'])} FROM resolved"
     plan = PLAN.replace("FROM fx_cycle_plan", f"FROM fx_cycle_plan WHERE {plan_scope}")
     calls = f"calls AS (SELECT DISTINCT * FROM fx_call_dtl_wide WHERE {scope})"
     return f"""WITH {calls}, {plan}, {_calendar('calls')}, {_counts(*bounds)}, {HISTORY}, {COUNTRY}, {CUSTOMER},

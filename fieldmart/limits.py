@@ -12,7 +12,7 @@ class Limits:
     # A key held by more rows than this is split over several tasks.
     hot_rows: int = 1_000_000
     # Bound on the number of keys treated that way; the row limit rises to respect it.
-    hot_keys: int = 1_000
+    hot_keys: int = 10_000
 
 
 DEFAULT = Limits()

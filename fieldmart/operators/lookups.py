@@ -68,19 +68,21 @@ def _guarded(value: str | Column, when: Column | None) -> Column:
     return column if when is None else F.when(when, column)
 
 
+def packed(dim: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """The key columns and one struct column with all others."""
+    return dim.select(*keys, F.struct(*[c for c in dim.columns if c not in keys]).alias(name))
+
+
 def latest_snapshot(df: DataFrame, batch: str) -> DataFrame:
     """The rows of the newest batch; the batch is found by a scalar subquery."""
     return df.where(F.col(batch) == df.select(F.max(batch)).scalar())
 
 
-def nulls_last(columns: list[str]) -> list[Column]:
-    """Ascending order with NULLs last, as values that min() and structs can compare."""
-    return [part for c in columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
-
-
 def first_per_key(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """One row per key: the first in the order of `columns`. Aggregated before the shuffle."""
-    first = F.min(F.struct(*[part.alias(f"c{i}") for i, part in enumerate(nulls_last(columns))]))
+    """One row per key: the first in the order of `columns`, NULLs last. Aggregated before the
+    shuffle."""
+    order = [part for c in columns for part in (F.col(c).isNull(), F.col(c))]
+    first = F.min(F.struct(*[part.alias(f"c{i}") for i, part in enumerate(order)]))
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key)

@@ -92,6 +92,25 @@ entity_display_name_vod__c last_data_refresh_timestamp affiliate_code=afl_id is_
 """.split()
 ]
 
-# Order that decides, after the cycle end date, which row of a group is the first. It names
-# every column that can differ between two rows of one call, those that usually differ first.
-TIEBREAK_LEAD = ["src_prod_nm", "prod_nm", "brd_nm", "ta", "spl_cyc"]
+# Call columns that operators read; the rest of a call travels as one packed column.
+READ_COLUMNS = """
+call_id src_prod_nm prod_nm brd_nm ta afl_id src_cntry_id brik_id terr_id cust_id call_dt pri_zip pri_city
+""".split()
+
+# Packed columns and what they hold. Few wide columns instead of a hundred narrow ones: every join
+# and sort in between copies a row's bytes and no more.
+PACKED = {
+    "rest": [c for c in CALL_COLUMNS if c not in READ_COLUMNS],
+    "country": ["country_name", "global_region_name", "global_subregion_name"],
+    "geo": GEO_COLUMNS,
+    "history": HISTORY_COLUMNS,
+    "sample": SAMPLE_COLUMNS,
+}
+
+# Order that decides, after the cycle end date, which row of a group is the first: ascending, NULLs
+# first. It has every column that can differ between two rows of one call, those that usually
+# differ first.
+TIEBREAK = """
+src_prod_nm prod_nm brd_nm ta spl_cyc cycle_end afl_id src_cntry_id brik_id terr_id cust_id call_dt pri_zip pri_city
+rest territory_status listed_flag country geo history sample
+""".split()

@@ -15,13 +15,21 @@ def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 256 * M
     return max(cores, -(-needed // cores) * cores)
 
 
+# One shuffle by call id (or customer) serves every join whose keys contain it.
+SHARED_SHUFFLE = ("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def tune(spark: SparkSession) -> None:
+    """For sessions made elsewhere: the one setting the product's plan counts on."""
+    spark.conf.set(*SHARED_SHUFFLE)
+
+
 def settings(cores: int, input_bytes: int = 0) -> dict[str, str]:
     return {
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # One shuffle by call id (or customer) serves every join whose keys contain it.
-        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        SHARED_SHUFFLE[0]: SHARED_SHUFFLE[1],
         "spark.sql.files.maxPartitionBytes": str(256 * MB if input_bytes > 1024 * MB else 16 * MB),
     }
 
