@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from fieldmart.operators.skew import heavy_keys
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product, final_projection
 from fieldmart.schema import CYCLE_COLUMNS, FLAG_GRAINS, OUTPUT, TIEBREAK, WALL_CLOCK
-from fieldmart.session import tune
+from fieldmart.session import pin, tune
 from fieldmart.sources.tables import map_all, mapped, mapped_table
 
 AFFILIATE = "DE"
@@ -53,10 +53,14 @@ class Inputs:
     def call_keys(self) -> DataFrame:
         return self.call_rows.select("afl_id", "ta").distinct()
 
-    @property
-    def calendar(self) -> DataFrame:
+    def new_calendar(self) -> DataFrame:
         return cal.build_calendar(self.plan, self.call_keys, self.read("fx_time_bckt"))
 
+    @cached_property
+    def calendar(self) -> DataFrame:
+        """Made once: it is measured and then joined, in some queries twice."""
+        return pin(self.new_calendar())
+
     @property
     def histories(self) -> DataFrame:
         return look.call_history(self.read("fx_call_hist_a"), self.read("fx_call_hist_b"))
@@ -178,7 +182,7 @@ def q_anti_missing_cycle(t):
 
 @register
 def q_cycle_calendar(t):
-    return t.calendar
+    return t.new_calendar()
 
 
 # Attribution, counts and flags

@@ -92,9 +92,10 @@ entity_display_name_vod__c last_data_refresh_timestamp affiliate_code=afl_id is_
 """.split()
 ]
 
-# Call columns that operators read; the rest of a call travels as one packed column.
+# Call columns that operators read; the rest of a call travels as one packed column. (The weight
+# is a floating point number, which a grouping would take out of the pack and put back.)
 READ_COLUMNS = """
-call_id src_prod_nm prod_nm brd_nm ta afl_id src_cntry_id brik_id terr_id cust_id call_dt pri_zip pri_city
+call_id src_prod_nm prod_nm brd_nm ta afl_id src_cntry_id brik_id terr_id cust_id call_dt pri_zip pri_city wtg
 """.split()
 
 # Packed columns and what they hold. Few wide columns instead of a hundred narrow ones: every join
@@ -112,5 +113,5 @@ PACKED = {
 # differ first.
 TIEBREAK = """
 src_prod_nm prod_nm brd_nm ta spl_cyc cycle_end afl_id src_cntry_id brik_id terr_id cust_id call_dt pri_zip pri_city
-rest territory_status listed_flag country geo history sample
+wtg rest territory_status listed_flag country geo history sample
 """.split()

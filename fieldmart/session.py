@@ -24,13 +24,23 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set(*SHARED_SHUFFLE)
 
 
+# The code generated for rows this wide is longer than what the JVM compiles by default.
+JVM = "-XX:-DontCompileHugeMethods"
+
+
 def settings(cores: int, input_bytes: int = 0) -> dict[str, str]:
+    large = input_bytes > 1024 * MB
     return {
+        "spark.driver.extraJavaOptions": JVM,
+        "spark.executor.extraJavaOptions": JVM,
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB if large else 64 * MB),
+        # Hash joins where the measured partitions of the right side are small: no sort of wide rows.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(256 * MB if large else 64 * MB),
         SHARED_SHUFFLE[0]: SHARED_SHUFFLE[1],
-        "spark.sql.files.maxPartitionBytes": str(256 * MB if input_bytes > 1024 * MB else 16 * MB),
+        "spark.sql.files.maxPartitionBytes": str(256 * MB if large else 16 * MB),
     }
 
 

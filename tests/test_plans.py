@@ -1,5 +1,6 @@
 """The physical plans the operators are written for."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -14,7 +15,7 @@ from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product
 from fieldmart.plans.sink import write_product
 from fieldmart.schema import OUTPUT
-from fieldmart.sources.tables import from_catalog, from_parquet, mapped
+from fieldmart.sources.tables import from_catalog, from_parquet, mapped, mapped_table
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +77,19 @@ def test_product_broadcasts_measured_lookups_and_sorts_no_result(spark, paths, n
     assert not any("rangepartitioning" in text.split("\n")[0] for _, text in named(df, "Exchange"))
 
 
+def test_calls_bucketed_by_id_are_shuffled_once(spark, paths, no_automatic_broadcast, tmp_path):
+    calls = spark.read.parquet(paths["call_detail"])
+    writer = calls.write.bucketBy(4, "call_id").sortBy("call_id").option("path", str(tmp_path / "calls"))
+    writer.mode("overwrite").saveAsTable("bucketed_calls")
+    try:
+        tables = replace(from_parquet(spark, paths), call_detail=mapped_table("call_detail", spark.table("bucketed_calls")))
+        df = build_product(tables, JobParams(bucketed_by_call=True))
+        wide = [text.split("\n")[0] for columns, text in named(df, "Exchange") if "rest" in columns]
+        assert len(wide) == 1 and "hashpartitioning(cust_id" in wide[0]
+    finally:
+        spark.sql("DROP TABLE bucketed_calls")
+
+
 def test_lookups_of_other_affiliates_are_left_out(spark, paths):
     tables = from_parquet(spark, paths)
     df = build_product(tables, JobParams(affiliate="JP"))
