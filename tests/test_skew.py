@@ -1,6 +1,7 @@
 """The ways around hot keys and large lookup sides give the rows of the plain ways."""
 
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,13 +9,16 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from checks import catalog
+from checks import catalog, fixtures
 from checks.compare import difference
 from fieldmart.limits import Limits
 from fieldmart.operators.attribution import attribute, overlap_count
 from fieldmart.operators.flags import deciding_date, first_flags, row_numbers
 from fieldmart.operators.sizing import fits, which_fit
 from fieldmart.operators.skew import heavy_keys, spread_left_join
+from fieldmart.params import JobParams
+from fieldmart.plans.product import build_product
+from fieldmart.sources.tables import map_all
 
 TINY = Limits(broadcast_bytes=0, hot_rows=5, hot_keys=1000)
 KEYS = ["a", "b", None, "c", "d", "e"]
@@ -136,3 +140,22 @@ def test_product_is_the_same_by_every_way(spark, sf_dir, duck, limits):
 def test_product_with_hot_calls_of_all_affiliates(spark, sf_dir, duck):
     found = catalog.product(catalog.Inputs(spark, sf_dir), limits=Limits(hot_rows=7))
     assert difference(found.drop("last_data_refresh_timestamp"), duck, driver.oracle_sql()["q_data_product"]) is None
+
+
+def test_product_with_a_third_of_the_rows_in_one_call_and_some_without_id(spark, sf_dir):
+    t = catalog.Inputs(spark, sf_dir)
+    tables = map_all({name: t.read(fixture) for name, fixture in fixtures.PRODUCT_TABLES.items()})
+    number = F.pmod(F.xxhash64("call_id", "src_prod_nm", "wtg"), F.lit(6))
+    calls = tables.call_detail.withColumns(
+        {
+            "call_id": F.when(number < 2, "O3").when(number == 2, F.lit(None)).otherwise(F.col("call_id")),
+            "cust_id": F.when(number < 2, "H10").when(number == 3, F.lit(None)).otherwise(F.col("cust_id")),
+        }
+    )
+    history = tables.call_history.withColumn("id", F.when(F.col("clm_vod__c") == "n/a", "O3").otherwise(F.col("id")))
+    tables = replace(tables, call_detail=calls, call_history=history)
+    when = datetime(2024, 1, 1)
+    expected = build_product(tables, JobParams(affiliate="DE", refreshed_at=when))
+    assert expected.count() > 10_000
+    found = build_product(tables, JobParams(affiliate="DE", refreshed_at=when, limits=Limits(hot_rows=100)))
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
