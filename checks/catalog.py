@@ -209,7 +209,8 @@ RANKS = {"ranking_call": [], "ranking_product": ["brd_nm"], "ranking_ta": ["ta"]
 def _flagged(t, bounds="ordered", add=fl.first_flags, grains=FLAG_GRAINS):
     counts = overlap_count(t.call_rows, t.calendar, bounds)
     hot = heavy_keys([t.call_rows.select("call_id")])
-    calls = look.lookup(t.calls.repartition("call_id"), counts, {"call_id": "call_id"}, balanced=True)
+    calls = t.call_rows.repartition("call_id").distinct()
+    calls = look.lookup(calls, counts, {"call_id": "call_id"}, balanced=True)
     rows = attribute(calls, t.calendar)
     order = [c for c in TIEBREAK if c in rows.columns]
     order += [c for c in rows.columns if c not in [*order, "n"]]
