@@ -6,17 +6,31 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from fieldmart.limits import DEFAULT, Limits
 
 PER_VALUE = 16  # bytes of row layout per value
 
 
+def _values(schema: StructType, path: str = "") -> list[tuple[str, bool]]:
+    """Every value of a row, inside structs too: its path, and whether it is text."""
+    found = []
+    for field in schema.fields:
+        name = f"{path}`{field.name}`"
+        if isinstance(field.dataType, StructType):
+            found += _values(field.dataType, name + ".")
+        else:
+            found.append((name, isinstance(field.dataType, StringType)))
+    return found
+
+
 def _bytes_of(df: DataFrame):
-    total = F.lit(PER_VALUE * (len(df.columns) + 1))
-    for name, kind in df.dtypes:
-        if kind == "string":
-            total = total + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    values = _values(df.schema)
+    total = F.lit(PER_VALUE * (len(values) + 1))
+    for name, is_text in values:
+        if is_text:
+            total = total + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
     return F.coalesce(F.sum(total.cast("long")), F.lit(0))
 
 

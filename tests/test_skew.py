@@ -71,6 +71,8 @@ def test_heavy_keys_are_bounded_and_see_null(spark):
 def test_measured_sizes(spark):
     small = spark.createDataFrame([("x" * 100,)] * 10, "s string")
     assert fits(small, Limits(broadcast_bytes=2000)) and not fits(small, Limits(broadcast_bytes=900))
+    packed = small.select(F.struct("s").alias("p"))
+    assert fits(packed, Limits(broadcast_bytes=2000)) and not fits(packed, Limits(broadcast_bytes=900))
     assert which_fit({"none": small.where("false"), "some": small}, Limits(broadcast_bytes=10)) == {"none": True, "some": False}
 
 
