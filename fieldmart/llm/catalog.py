@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldmart.llm.common import Scratch
 from fieldmart.llm.exact_dedup import exact_dedup
+from fieldmart.llm.packing import pack
+from fieldmart.llm.wavelet import read_tokens, write_tokens
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -36,3 +38,13 @@ SELECT doc_id,
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
+
+
+@query
+def op5_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_tokens(write_tokens(table(spark, sf_dir, "documents"), Scratch(spark, "op5")))
