@@ -26,7 +26,7 @@ def merge_runs(runs: list[np.ndarray]) -> np.ndarray:
     A stable sort merges runs that are sorted already. Entries are one text only where digest,
     second hash and length agree.
     """
-    entries = np.concatenate(runs)
+    entries = np.concatenate(runs).astype(ENTRY, copy=False)  # concatenate() drops the byte order
     digest = entries["digest"].T[::-1]
     order = np.lexsort([entries["keep"], entries["length"], entries["check"], *digest])
     entries = entries[order]
