@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldmart.llm.common import Scratch
 from fieldmart.llm.exact_dedup import exact_dedup
 from fieldmart.llm.packing import pack
+from fieldmart.llm.warc import pages_to_warc
 from fieldmart.llm.wavelet import read_tokens, write_tokens
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +49,31 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(table(spark, sf_dir, "documents"), Scratch(spark, "op5")))
+
+
+@query
+def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_to_warc(table(spark, sf_dir, "pages"), Scratch(spark, "op6"))
+
+
+# The base32 digits of the digest: eight times 20 bits, five hexadecimal digits for four of them.
+ORACLE_SQL["op6_arc_to_warc"] = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), hashed AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS digest FROM payloads
+), digested AS (
+    SELECT page_id, payload_bytes,
+           list_aggregate(list_transform(range(32), lambda i:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      1 + ((('0x' || substr(digest, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)),
+               'string_agg', '') AS payload_digest
+    FROM hashed
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digested
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
