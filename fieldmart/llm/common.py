@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,3 +82,23 @@ def share_smallest(rows: DataFrame, group: str, value: str, out: str) -> DataFra
     tops = leaves.groupBy(group).agg(F.min("__leaf").alias(out))
     found = leaves.select("part", group).join(tops, group)
     return rows.join(found, ["part", group])
+
+
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+_ARROW |= {"string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+
+
+def batch(ddl: str, columns: list) -> pa.RecordBatch:
+    """Columns of a task as a record batch of this schema; whole numbers stay exact beside nulls."""
+    fields = [field.split(" ", 1) for field in ddl.split(", ")]
+    arrays = [pa.array(column, type=_ARROW[kind]) for column, (_, kind) in zip(columns, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
+
+
+def batch_of_rows(ddl: str, rows: list[tuple]) -> pa.RecordBatch:
+    return batch(ddl, list(zip(*rows, strict=True)) if rows else [[] for _ in ddl.split(", ")])
+
+
+def lists(rows: pa.RecordBatch, *names: str) -> zip:
+    """The rows of a batch as tuples of plain values."""
+    return zip(*[rows.column(name).to_pylist() for name in names], strict=True)

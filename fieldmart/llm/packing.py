@@ -8,12 +8,12 @@ from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldmart.llm.common import Scratch, text_of
+from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, text_of
 from fieldmart.llm.tokenizing import default_tokenizer, encoder
 
 PIECES = "part int, doc_id long, piece int, start long, length long, ids_crc32 long, place long"
@@ -30,19 +30,19 @@ def piece_lengths(tokens: int, capacity: int) -> list[int]:
 def _pieces_of(tokenizer: str, capacity: int, end_id: int):
     end = np.uint32(end_id).astype("<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = encoder(tokenizer).encode, defaultdict(int)
         for rows in batches:
             out = []
-            for part, doc_id, ids in zip(rows["part"], rows["doc_id"], encode(rows["text"].tolist()), strict=True):
+            encoded = encode(rows.column("text").to_pylist())
+            for (part, doc_id), ids in zip(lists(rows, "part", "doc_id"), encoded, strict=True):
                 ids, start = ids + end, 0
                 for number, length in enumerate(piece_lengths(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
                     out.append((part, doc_id, number, start, length, crc, seen[length]))
                     seen[length] += 1
                     start += length
-            made = pd.DataFrame(out, columns=[c.split()[0] for c in PIECES.split(", ")])
-            yield made.astype({"doc_id": "Int64"})
+            yield batch_of_rows(PIECES, out)
 
     return cut
 
@@ -89,15 +89,15 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 
 def _placed_by(moves):
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.array(sorted(moves.value), dtype=np.int64).reshape(-1, 4)
         keys = (table[:, 0] << RANK_BITS) | table[:, 1]
         for rows in batches:
-            rank = (rows["before"] + rows["place"]).to_numpy()
-            row = np.searchsorted(keys, (rows["length"].to_numpy() << RANK_BITS) | rank, side="right") - 1
-            rows["sequence_id"] = table[row, 2] + rank - table[row, 1]
-            rows["offset"] = table[row, 3]
-            yield rows[[c.split()[0] for c in PLACED.split(", ")]]
+            length, place, before = (rows.column(n).to_numpy() for n in ("length", "place", "before"))
+            rank = before + place
+            row = np.searchsorted(keys, (length << RANK_BITS) | rank, side="right") - 1
+            own = [rows.column(c.split()[0]) for c in PLACED.split(", ")[:-2]]
+            yield batch(PLACED, [*own, table[row, 2] + rank - table[row, 1], table[row, 3]])
 
     return place
 
@@ -128,13 +128,13 @@ def pack(
         text_of(docs, text_column).alias("text"),
     )
     cut = _pieces_of(tokenizer or default_tokenizer(), capacity, end_id)
-    pieces = scratch.pin(source.mapInPandas(cut, PIECES), "pieces")
+    pieces = scratch.pin(source.mapInArrow(cut, PIECES), "pieces")
     by_part = pieces.groupBy("part", "length").agg(F.count("*").alias("count"))
     counts = {r["length"]: r["count"] for r in by_part.groupBy("length").agg(F.sum("count").alias("count")).collect()}
     moves = docs.sparkSession.sparkContext.broadcast(best_fit(counts, capacity))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", "length", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
-    return pieces.join(before, ["part", "length"]).mapInPandas(_placed_by(moves), PLACED)
+    return pieces.join(before, ["part", "length"]).mapInArrow(_placed_by(moves), PLACED)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -10,13 +10,13 @@ import zlib
 from collections.abc import Iterator
 from uuid import UUID
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldmart.llm.common import Scratch, read_file, share_smallest, write_file
+from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, read_file, share_smallest, write_file
 
 ROLL_BYTES = 16 << 20  # of one archive, before compression
 # The field names that each ARC version declares for its record lines.
@@ -68,9 +68,9 @@ def http_response(page_id: int | None, payload: bytes) -> bytes:
 
 
 def _write_arcs(folder: str, date: str, roll_bytes: int):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
-        packed, size, paths = [], 0, []
+        packed, size, offset, paths = [], 0, 0, []
 
         def close() -> None:
             nonlocal packed, size, number
@@ -80,12 +80,12 @@ def _write_arcs(folder: str, date: str, roll_bytes: int):
             packed, size, number = [], 0, number + 1
 
         for rows in batches:
-            for page_id, url, html in zip(rows["page_id"], rows["url"], rows["html"], strict=True):
+            for page_id, url, html in lists(rows, "page_id", "url", "html"):
                 name, version = f"{task:06d}-{number:05d}.arc.gz", 1 + (task + number) % 2
                 if not packed:
                     packed.append(gzip.compress(arc_head(version, name, date), 1, mtime=0))
-                body = http_response(None if pd.isna(page_id) else int(page_id), (html or "").encode())
-                offset = sum(map(len, packed[-1:])) if len(packed) == 1 else offset + len(packed[-1])
+                body = http_response(page_id, (html or "").encode())
+                offset = len(packed[0]) if len(packed) == 1 else offset + len(packed[-1])
                 record = arc_record(version, _clean(url), date, "text/html", body, offset, name)
                 packed.append(gzip.compress(record, 1, mtime=0))
                 size += len(record)
@@ -93,7 +93,7 @@ def _write_arcs(folder: str, date: str, roll_bytes: int):
                     close()
         if packed:
             close()
-        yield pd.DataFrame({"part": task, "path": paths})
+        yield batch(FILES, [[task] * len(paths), paths])
 
     return write
 
@@ -103,8 +103,7 @@ def write_arcs(
 ) -> DataFrame:
     """Pages as ARC archives, of both versions in turn; returns the archives."""
     source = pages.select(pages["page_id"].cast(LongType()).alias("page_id"), pages["url"], pages["html"])
-    source = source.withColumn("page_id", F.col("page_id").cast("decimal(20,0)").cast("string"))
-    return scratch.pin(source.mapInPandas(_write_arcs(folder, date, roll_bytes), FILES), "arcs")
+    return scratch.pin(source.mapInArrow(_write_arcs(folder, date, roll_bytes), FILES), "arcs")
 
 
 # ARC, reading
@@ -232,21 +231,20 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, rest[:length]
 
 
-def _index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [c.split()[0] for c in INDEX.split(", ")]
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        for part, path in zip(rows["part"], rows["path"], strict=True):
+        for part, path in lists(rows, "part", "path"):
             out = []
             for ordinal, record in enumerate(parse_arc(read_file(path))):
                 http, _, payload = split_http(record["body"])
                 page_id = int(http[ID_HEADER.lower()]) if ID_HEADER.lower() in http else None
                 digest = base32_sha1(payload)
                 out.append((part, path, ordinal, page_id, len(payload), digest, record["URL"], record["version"]))
-            yield pd.DataFrame(out, columns=names).astype({"page_id": "Int64"})
+            yield batch_of_rows(INDEX, out)
 
 
 def _convert_files(folder: str):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arc, records, packed, paths = "", iter(()), [], []
 
         def close() -> None:
@@ -256,7 +254,7 @@ def _convert_files(folder: str):
                 packed.clear()
 
         for rows in batches:
-            for path, is_revisit, refers_to in zip(rows["path"], rows["revisit"], rows["refers_to"], strict=True):
+            for path, is_revisit, refers_to in lists(rows, "path", "revisit", "refers_to"):
                 if path != arc:
                     close()
                     arc, records = path, parse_arc(read_file(path))
@@ -264,11 +262,10 @@ def _convert_files(folder: str):
                     head = {"WARC-Type": "warcinfo", "WARC-Record-ID": record_id(None, path.rpartition("/")[2], -1)}
                     head |= {"WARC-Date": "2024-01-01T00:00:00Z", "Content-Type": "application/warc-fields"}
                     packed.append(gzip.compress(warc_record(head, info), 1, mtime=0))
-                target = None if refers_to is None else int(refers_to)
-                record = convert(next(records), path.rpartition("/")[2], target, bool(is_revisit))
+                record = convert(next(records), path.rpartition("/")[2], refers_to, is_revisit)
                 packed.append(gzip.compress(record, 6, mtime=0))
         close()
-        yield pd.DataFrame({"part": TaskContext.get().partitionId(), "path": paths})
+        yield batch(FILES, [[TaskContext.get().partitionId()] * len(paths), paths])
 
     return write
 
@@ -283,7 +280,7 @@ def convert_arcs(arcs: DataFrame, scratch: Scratch, folder: str, min_bytes: int
     third of all records is no hot key. The second pass writes each archive in its old order.
     """
     parts = max(1, arcs.count())
-    index = arcs.select("part", "path").repartition(parts, "path").mapInPandas(_index, INDEX)
+    index = arcs.select("part", "path").repartition(parts, "path").mapInArrow(_index, INDEX)
     index = scratch.pin(index, "index")
     rank = F.struct(F.coalesce("page_id", F.lit(NO_ID)).alias("id"), "path", "ordinal")
     shared = F.when(F.col("payload_bytes") >= min_bytes, F.col("digest")).otherwise(
@@ -294,16 +291,15 @@ def convert_arcs(arcs: DataFrame, scratch: Scratch, folder: str, min_bytes: int
         "path",
         "ordinal",
         (F.col("first") != F.col("rank")).alias("revisit"),
-        F.nullif("first.id", F.lit(NO_ID)).cast("string").alias("refers_to"),
+        F.nullif("first.id", F.lit(NO_ID)).alias("refers_to"),
     )
     plan = plan.repartition(parts, "path").sortWithinPartitions("path", "ordinal")
-    return scratch.pin(plan.mapInPandas(_convert_files(folder), FILES), "warcs")
+    return scratch.pin(plan.mapInArrow(_convert_files(folder), FILES), "warcs")
 
 
-def _read_warcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [c.split()[0] for c in PAGES.split(", ")]
+def _read_warcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        for path in rows["path"]:
+        for path in rows.column("path").to_pylist():
             out = []
             for fields, block in parse_warc(read_file(path)):
                 if fields["WARC-Type"] == "warcinfo":
@@ -318,12 +314,12 @@ def _read_warcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 elif digest != base32_sha1(payload):
                     raise ValueError(f"{path}: a payload does not match its digest")
                 out.append((page_of(fields["WARC-Record-ID"]), size, digest, fields["WARC-Type"], refers_to))
-            yield pd.DataFrame(out, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield batch_of_rows(PAGES, out)
 
 
 def read_warcs(warcs: DataFrame) -> DataFrame:
     """One row per record of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to."""
-    return warcs.repartition(max(1, warcs.count()), "path").mapInPandas(_read_warcs, PAGES)
+    return warcs.repartition(max(1, warcs.count()), "path").mapInArrow(_read_warcs, PAGES)
 
 
 def pages_to_warc(pages: DataFrame, scratch: Scratch, folder: str | None = None, min_bytes: int = 0) -> DataFrame:

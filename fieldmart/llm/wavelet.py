@@ -7,14 +7,14 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldmart.llm.common import Scratch, read_file, text_of, write_file
+from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, read_file, text_of, write_file
 from fieldmart.llm.tokenizing import default_tokenizer, encoder
 
 MAGIC = b"WMX1"
@@ -159,12 +159,12 @@ def from_file(data: bytes) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
 
 
 def _written(folder: str, tokenizer: str, end_id: int):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer).encode, np.uint32(end_id).astype("<u4").tobytes()
         doc_ids, lengths, ids = [], [], []
         for rows in batches:
-            found = [x + end for x in encode(rows["text"].tolist())]
-            doc_ids += rows["doc_id"].tolist()
+            found = [x + end for x in encode(rows.column("text").to_pylist())]
+            doc_ids += rows.column("doc_id").to_pylist()
             lengths += [len(x) // 4 for x in found]
             whole = np.frombuffer(b"".join(found), dtype="<u4")
             ids.append(whole.astype(np.uint16) if whole.max(initial=0) < 2**16 else whole)
@@ -173,7 +173,7 @@ def _written(folder: str, tokenizer: str, end_id: int):
             path = f"{folder}/shard-{shard:07d}.wmx"
             matrix = WaveletMatrix.of(np.concatenate(ids))
             write_file(path, to_file(np.array(doc_ids, dtype=np.int64), np.cumsum(lengths), matrix))
-            yield pd.DataFrame([(shard, path, len(doc_ids), matrix.length)], columns=["shard", "path", "docs", "tokens"])
+            yield batch_of_rows(MANIFEST, [(shard, path, len(doc_ids), matrix.length)])
 
     return write
 
@@ -201,24 +201,22 @@ def write_tokens(
     ranged = source.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     ranged = ranged.withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
     write = _written(folder or f"{scratch.path}/tokens", tokenizer or default_tokenizer(), end_id)
-    return scratch.pin(ranged.mapInPandas(write, MANIFEST), "manifest")
+    return scratch.pin(ranged.mapInArrow(write, MANIFEST), "manifest")
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        for path, base in zip(rows["path"], rows["base"], strict=True):
+        for path, base in lists(rows, "path", "base"):
             doc_ids, ends, matrix = from_file(read_file(path))
             ids = matrix.decode().astype("<u4", copy=False)
             starts = np.concatenate([[0], ends[:-1]])
             crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends, strict=True)]
-            made = {"doc_id": doc_ids, "start": starts + base, "n_tokens": ends - starts, "ids_crc32": crcs}
-            made = pd.DataFrame(made).astype({"doc_id": "Int64"})
-            made.loc[doc_ids == NULL_ID, "doc_id"] = None
-            yield made
+            own = pa.array(doc_ids, mask=doc_ids == NULL_ID)
+            yield batch(ROWS, [own, starts + base, ends - starts, crcs])
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """One row per document out of the files: doc_id, start, n_tokens, ids_crc32."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    return shards.repartition(max(1, manifest.count()), "shard").mapInPandas(_read, ROWS)
+    return shards.repartition(max(1, manifest.count()), "shard").mapInArrow(_read, ROWS)
