@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldmart.llm.common import Scratch
 from fieldmart.llm.exact_dedup import exact_dedup
 from fieldmart.llm.packing import pack
+from fieldmart.llm.toxicity import score, train
 from fieldmart.llm.warc import pages_to_warc
 from fieldmart.llm.wavelet import read_tokens, write_tokens
 
@@ -77,3 +78,9 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM firsts
 """
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))

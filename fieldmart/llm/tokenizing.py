@@ -19,10 +19,11 @@ class Encoder:
 
     The pre-tokenizer always starts a new token at a single space between two characters that
     are no white space, so the pieces between such spaces are encoded apart, and remembered.
-    Texts with other runs of spaces go to the library whole. At most `limit` pieces are kept.
+    Texts with other runs of spaces go to the library whole. About `limit` pieces are kept at
+    most; of too many the later half goes, as frequent pieces come up early.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,9 +43,10 @@ class Encoder:
         return out
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.limit:
-            self.known.clear()
         known = self.known
+        if len(known) > self.limit:
+            for piece in list(known)[self.limit // 2 :]:
+                del known[piece]
         split = [text.split(" ") for text in texts]
         new = {piece for pieces in split for piece in pieces[1:] if piece not in known}
         plain = [piece for piece in new if piece and not piece[0].isspace() and not piece[-1].isspace()]
