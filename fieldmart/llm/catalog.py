@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldmart.llm.chat import rotate
 from fieldmart.llm.common import Scratch
+from fieldmart.llm.decontamination import decontaminate
 from fieldmart.llm.exact_dedup import exact_dedup
 from fieldmart.llm.packing import pack
 from fieldmart.llm.toxicity import score, train
@@ -84,3 +86,88 @@ FROM firsts
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(table(spark, sf_dir, "conversations"), Scratch(spark, "op2"))
+
+
+ORACLE_SQL["op2_chat_rotation"] = r"""
+WITH named AS (
+    SELECT conv_id, turn, replace(coalesce(text, ''), '<|', '< |') AS text,
+           regexp_replace(trim(role), '[\s<|>]+', '_', 'g') AS name
+    FROM conversations
+), messages AS (
+    SELECT *, CASE WHEN length(name) > 0 THEN name ELSE 'unknown' END AS speaker,
+           row_number() OVER (ORDER BY conv_id, turn NULLS LAST, name, text) AS nth
+    FROM named
+), people AS (
+    SELECT DISTINCT conv_id, speaker AS perspective FROM messages WHERE speaker <> 'system'
+), rendered AS (
+    SELECT m.conv_id, p.perspective, m.nth, m.text, m.speaker = p.perspective AS trained,
+           '<|im_start|>' || CASE WHEN m.speaker = 'system' THEN 'system'
+                                  WHEN m.speaker = p.perspective THEN 'assistant'
+                                  ELSE 'user name=' || m.speaker END || chr(10) AS head
+    FROM messages m JOIN people p ON m.conv_id IS NOT DISTINCT FROM p.conv_id
+), placed AS (
+    SELECT *, coalesce(sum(length(head) + length(text) + 11) OVER (
+        PARTITION BY conv_id, perspective ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    FROM rendered
+), pieces AS (
+    SELECT *, start // 262144 AS piece, min(start) OVER (PARTITION BY conv_id, perspective, start // 262144) AS first
+    FROM placed
+)
+SELECT conv_id, perspective, piece,
+       string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY nth) AS text,
+       coalesce(string_agg((start - first + length(head)) || '-' || (start - first + length(head) + length(text) + 10), ','
+                           ORDER BY nth) FILTER (WHERE trained), '') AS mask,
+       count(*) AS n_messages,
+       count(*) FILTER (WHERE trained) AS n_trained
+FROM pieces
+GROUP BY conv_id, perspective, piece
+"""
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op9"))
+
+
+ORACLE_SQL["op9_decontamination"] = r"""
+WITH doc_words AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+    FROM documents
+), item_words AS (
+    SELECT item_id::VARCHAR AS item_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+    FROM benchmark WHERE item_id IS NOT NULL
+), starts AS (
+    SELECT item_id, words, least(len(words), 10) AS length,
+           unnest(range(1, greatest(len(words) - 10, 0) + 2)) AS start
+    FROM item_words WHERE len(words) > 0
+), windows AS (
+    SELECT DISTINCT item_id, length, array_to_string(words[start:start + length - 1], ' ') AS gram FROM starts
+), lengths AS (
+    SELECT DISTINCT length FROM windows
+), grams AS (
+    SELECT doc_id, length, start, array_to_string(words[start:start + length - 1], ' ') AS gram
+    FROM (SELECT doc_id, words, length, unnest(range(1, len(words) - length + 2)) AS start
+          FROM doc_words, lengths WHERE len(words) >= length)
+), hits AS (
+    SELECT doc_id, start, g.length, item_id FROM grams g JOIN windows w ON g.gram = w.gram AND g.length = w.length
+), hit_words AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(range(start, start + length)) AS word FROM (SELECT DISTINCT doc_id, start, length FROM hits))
+    GROUP BY doc_id
+), hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
