@@ -11,6 +11,7 @@ from fieldmart.llm.chat import rotate
 from fieldmart.llm.common import Scratch
 from fieldmart.llm.decontamination import decontaminate
 from fieldmart.llm.exact_dedup import exact_dedup
+from fieldmart.llm.minhash import near_duplicates
 from fieldmart.llm.packing import pack
 from fieldmart.llm.toxicity import score, train
 from fieldmart.llm.warc import pages_to_warc
@@ -178,3 +179,8 @@ FROM doc_words d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (d
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
+
+
+@query
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
