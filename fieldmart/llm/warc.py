@@ -24,6 +24,7 @@ FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+CHUNK = 1 << 14  # bytes handed to the decompressor at once
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID_HEADER = "X-Page-Id"
 NO_ID = 2**63 - 1
@@ -113,10 +114,14 @@ def members(data: bytes) -> Iterator[tuple[int, bytes]]:
     """The gzip members of a file, each a record, with their offsets."""
     at = 0
     while at < len(data):
-        unpacker = zlib.decompressobj(wbits=31)
-        record = unpacker.decompress(data[at:] if at == 0 else memoryview(data)[at:])
-        yield at, record + unpacker.flush()
-        at = len(data) - len(unpacker.unused_data)
+        unpacker, offset, parts = zlib.decompressobj(wbits=31), at, []
+        while not unpacker.eof:
+            some = data[at : at + CHUNK]
+            if not some:
+                raise ValueError(f"the member at {offset} is cut short")
+            parts.append(unpacker.decompress(some))
+            at += len(some) - len(unpacker.unused_data)
+        yield offset, b"".join(parts)
 
 
 def parse_arc(data: bytes) -> Iterator[dict]:
@@ -263,7 +268,7 @@ def _convert_files(folder: str):
                     head |= {"WARC-Date": "2024-01-01T00:00:00Z", "Content-Type": "application/warc-fields"}
                     packed.append(gzip.compress(warc_record(head, info), 1, mtime=0))
                 record = convert(next(records), path.rpartition("/")[2], refers_to, is_revisit)
-                packed.append(gzip.compress(record, 6, mtime=0))
+                packed.append(gzip.compress(record, 1, mtime=0))
         close()
         yield batch(FILES, [[TaskContext.get().partitionId()] * len(paths), paths])
 
