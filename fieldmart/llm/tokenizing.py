@@ -23,7 +23,7 @@ class Encoder:
     most; of too many the later half goes, as frequent pieces come up early.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 800_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -31,11 +31,30 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
         self.known: dict[str, bytes | None] = {}
+        self.tokens: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    @staticmethod
+    def _parts(piece: str) -> list[str] | None:
+        """Parts that the pre-tokenizer never joins: lines, and the punctuation that ends a word.
+
+        None where white space stands elsewhere; such texts are encoded whole.
+        """
+        out, lead = [], " "
+        for line in piece.split("\n"):
+            if not line or line[0].isspace() or line[-1].isspace():
+                return None
+            word = line.rstrip(".,!?;:%$#&*")
+            if word != line and word and word[-1].isalnum():
+                out += [lead + word, line[len(word) :], "\n"]
+            else:
+                out += [lead + line, "\n"]
+            lead = ""
+        return out[:-1]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for start in range(0, len(texts), 64):
@@ -43,15 +62,19 @@ class Encoder:
         return out
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
+        for store in (self.known, self.tokens):
+            if len(store) > self.limit:
+                for piece in list(store)[self.limit // 2 :]:
+                    del store[piece]
         known = self.known
-        if len(known) > self.limit:
-            for piece in list(known)[self.limit // 2 :]:
-                del known[piece]
         split = [text.split(" ") for text in texts]
         new = {piece for pieces in split for piece in pieces[1:] if piece not in known}
-        plain = [piece for piece in new if piece and not piece[0].isspace() and not piece[-1].isspace()]
-        known.update(dict.fromkeys(new))
-        known.update(zip(plain, self._ids([" " + piece for piece in plain]), strict=True))
+        parts = {piece: self._parts(piece) for piece in new}
+        tokens = self.tokens
+        fresh = [part for part in {x for own in parts.values() for x in own or ()} if part not in tokens]
+        tokens.update(zip(fresh, self._ids(fresh), strict=True))
+        for piece, own in parts.items():
+            known[piece] = None if own is None else b"".join([tokens[part] for part in own])
         heads = self._ids([pieces[0] for pieces in split])
         out = []
         for text, head, pieces in zip(texts, heads, split, strict=True):
