@@ -13,6 +13,7 @@ from fieldmart.llm.decontamination import decontaminate
 from fieldmart.llm.exact_dedup import exact_dedup
 from fieldmart.llm.minhash import near_duplicates
 from fieldmart.llm.packing import pack
+from fieldmart.llm.suffixes import remove_repeats
 from fieldmart.llm.toxicity import score, train
 from fieldmart.llm.warc import pages_to_warc
 from fieldmart.llm.wavelet import read_tokens, write_tokens
@@ -184,3 +185,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
+
+
+@query
+def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "op10"))

@@ -39,7 +39,7 @@ class Scratch:
     def pin(self, df: DataFrame, name: str) -> DataFrame:
         """Write df as Parquet and return the written table."""
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
