@@ -168,7 +168,7 @@ def decontaminate(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = 10, k: int = 5) -> DataFrame:
     """The rows of docs, all their columns, that share no window with an item."""
     hits, _ = find_hits(docs, benchmark, scratch, window, k)
-    bad = hits.select(F.col("doc_id").alias("bad_id"), F.col("mark").alias("bad_mark")).distinct()
+    bad = hits.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
     mark = F.xxhash64(text_of(docs), F.octet_length(text_of(docs)))
-    meets = docs["doc_id"].cast(LongType()).eqNullSafe(F.col("bad_id")) & (mark == F.col("bad_mark"))
+    meets = docs["doc_id"].cast(LongType()).eqNullSafe(F.col("__id")) & (mark == F.col("__mark"))
     return docs.join(_small(bad), meets, "left_anti")

@@ -138,3 +138,19 @@ def exact_dedup(
         F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def keep_first(docs: DataFrame, scratch: Scratch, id_column: str = "doc_id", **how) -> DataFrame:
+    """The rows of docs, all their columns, that stay: one of each text.
+
+    Rows with equal text and equal ids, the winning one included, are told apart by nothing; one of them
+    stays. Of a group without any id one row stays too.
+    """
+    decided = scratch.pin(exact_dedup(docs, scratch, id_column, **how), "decided")
+    lost = decided.where("NOT kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")).distinct()
+    digest = F.sha2(text_of(docs, how.get("text_column", "text")).cast("binary"), 256)
+    meets = docs[id_column].cast(LongType()).eqNullSafe(F.col("__id")) & (digest == F.col("__digest"))
+    stay = docs.join(lost, meets, "left_anti")
+    if decided.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
+        return stay
+    return stay.withColumn("__digest", digest).dropDuplicates([id_column, "__digest"]).drop("__digest")

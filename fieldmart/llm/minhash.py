@@ -264,3 +264,14 @@ def near_duplicates(
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+
+
+def keep_one_of_each(docs: DataFrame, scratch: Scratch, **how) -> DataFrame:
+    """The rows of docs, all their columns, of each component's smallest id.
+
+    Rows that share this id with other texts of the component stay as well; rows without an id go
+    if their component has one.
+    """
+    decided = near_duplicates(docs, scratch, **how).where("NOT kept").select(F.col("doc_id").alias("__id"))
+    lost = decided.distinct()
+    return docs.join(lost, docs["doc_id"].cast(LongType()).eqNullSafe(F.col("__id")), "left_anti")
