@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from checks import fixtures
 from fieldmart.functions import normalise as n
+from fieldmart.limits import DEFAULT
 from fieldmart.operators import calendar as cal
 from fieldmart.operators import flags as fl
 from fieldmart.operators import lookups as look
 from fieldmart.operators import waterfall as wf
 from fieldmart.operators.attribution import attribute, overlap_count
-from fieldmart.operators.skew import heavy_keys
+from fieldmart.operators.skew import heavy_keys, split_hot
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product, final_projection
 from fieldmart.schema import CYCLE_COLUMNS, FLAG_GRAINS, OUTPUT, TIEBREAK, WALL_CLOCK
-from fieldmart.session import pin, tune
+from fieldmart.session import pin
 from fieldmart.sources.tables import map_all, mapped, mapped_table
 
 AFFILIATE = "DE"
@@ -206,15 +207,28 @@ def q_overlap_count_ordered(t):
 RANKS = {"ranking_call": [], "ranking_product": ["brd_nm"], "ranking_ta": ["ta"]}
 
 
-def _flagged(t, bounds="ordered", add=fl.first_flags, grains=FLAG_GRAINS):
+FLAG_WAYS = {fl.first_flags: (fl.first_flags, fl.first_flags_of_hot), fl.row_numbers: (fl.row_numbers, fl.numbers_of_hot)}
+
+
+def _flagged(t, bounds="ordered", add=fl.first_flags, grains=FLAG_GRAINS, limits=DEFAULT):
     counts = overlap_count(t.call_rows, t.calendar, bounds)
-    hot = heavy_keys([t.call_rows.select("call_id")])
-    calls = t.call_rows.repartition("call_id").distinct()
-    calls = look.lookup(calls, counts, {"call_id": "call_id"}, balanced=True)
-    rows = attribute(calls, t.calendar)
+    plain, spread = FLAG_WAYS[add]
+
+    def enriched(calls, **way):
+        return attribute(look.lookup(calls, counts, {"call_id": "call_id"}, **way), t.calendar)
+
+    calls = t.call_rows
+    hot = heavy_keys([calls.select("call_id")], limits)
+    ordinary, crowded = (calls, None) if hot is None else split_hot(calls, "call_id", hot)
+    rows = enriched(ordinary.repartition("call_id").distinct(), balanced=True)
     order = [c for c in TIEBREAK if c in rows.columns]
     order += [c for c in rows.columns if c not in [*order, "n"]]
-    return add(rows, "call_id", fl.deciding_date(), order, grains, [row["call_id"] for row in hot])
+    rows = plain(rows, "call_id", fl.deciding_date(), order, grains)
+    if hot is None:
+        return rows
+    # Rows of a crowded call never meet in one task: a distinct over all columns, a split join.
+    found = enriched(crowded.distinct(), hot=hot.withColumn("rows_1", F.lit(1).cast("long")), limits=limits)
+    return rows.unionByName(spread(found, "call_id", fl.deciding_date(), order, grains, limits=limits))
 
 
 @register
@@ -345,7 +359,6 @@ def q_plz_waterfall(t):
 
 
 def product(t, **options) -> DataFrame:
-    tune(t.spark)
     tables = map_all({name: t.read(fixture) for name, fixture in fixtures.PRODUCT_TABLES.items()})
     return build_product(tables, JobParams(data_source=DATA_SOURCE, **options))
 

@@ -9,10 +9,8 @@ from dataclasses import dataclass
 class Limits:
     # A lookup side is broadcast only when its measured text size is at most this.
     broadcast_bytes: int = 64 * 1024 * 1024
-    # A key held by more rows than this is split over several tasks.
+    # A key held by more rows than this, before or after a join, is split over several tasks.
     hot_rows: int = 1_000_000
-    # Bound on the number of keys treated that way; the row limit rises to respect it.
-    hot_keys: int = 10_000
 
 
 DEFAULT = Limits()

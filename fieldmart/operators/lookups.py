@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.functions import normalise as n
@@ -26,7 +26,7 @@ def lookup(
     when: Column | None = None,
     small: bool | None = None,
     balanced: bool = False,
-    hot: list[Row] | None = None,
+    hot: DataFrame | None = None,
     keys_from: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
@@ -57,10 +57,12 @@ def lookup(
         joined = df.withColumns(made) if made else df
         return joined.join(side, reduce(Column.__and__, condition), "left").drop(*keys, *made)
     left = df.withColumns({key: _guarded(value, when) for key, (_, value) in keys.items()})
+    known = hot is not None
     if hot is None and keys_from is not None:
+        known = True
         counted = keys_from.select(*[_guarded(value, None).alias(key) for key, (_, value) in keys.items()])
         hot = heavy_keys([counted, dim.select(*keys)], limits)
-    return spread_left_join(left, dim, list(keys), hot=hot, limits=limits).drop(*keys)
+    return spread_left_join(left, dim, list(keys), hot=hot, counted=known, limits=limits).drop(*keys)
 
 
 def _guarded(value: str | Column, when: Column | None) -> Column:

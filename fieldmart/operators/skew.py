@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.limits import DEFAULT, Limits
+from fieldmart.operators.sizing import fits
+from fieldmart.session import pin
 
 NULL_SPREAD = 1 << 16  # rows with a NULL key match nothing and may lie anywhere
 
 
-def heavy_keys(sides: list[DataFrame], limits: Limits = DEFAULT) -> list[Row]:
-    """Keys held by more than limits.hot_rows rows on some side, with the rows per side.
+GRID_ROWS = 10_000  # hot keys that are always broadcast
+SALT = 256  # copies of a table of hot keys too large to broadcast
 
-    Each side holds the key columns only, under the same names. Counting is pre-aggregated, and
-    at most limits.hot_keys rows per side reach the driver: the row limit is at least
-    total / hot_keys, which no more keys than that can exceed.
+
+def heavy_keys(sides: list[DataFrame], limits: Limits = DEFAULT) -> DataFrame | None:
+    """The keys held by more than limits.hot_rows rows, on some side or after the sides are joined,
+    with the rows per side; None if there is no such key.
+
+    Each side holds the key columns only, under the same names. Counting is pre-aggregated. The
+    keys are a written table: there are at most as many as limits.hot_rows goes into all rows,
+    and none is left out. They never reach the driver. A key that is NULL is never joined.
     """
     keys = sides[0].columns
     names = [f"rows_{i}" for i in range(len(sides))]
@@ -26,15 +33,21 @@ def heavy_keys(sides: list[DataFrame], limits: Limits = DEFAULT) -> list[Row]:
         for i, df in enumerate(sides)
     ]
     counts = reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
-    most = counts.agg(*[F.max(n).alias(f"max_{n}") for n in names], *[F.sum(n).alias(n) for n in names]).first()
-    hot = []
-    for n in names:
-        limit = max(limits.hot_rows, (most[n] or 0) // limits.hot_keys)
-        if (most[f"max_{n}"] or 0) > limit:
-            hot.append(F.col(n) > limit)
-    if not hot:
-        return []
-    return counts.where(reduce(Column.__or__, hot)).collect()
+    # As decimals and doubles would, so that large counts do not overflow.
+    joined = reduce(Column.__mul__, [F.greatest(F.col(n), F.lit(1)).cast("double") for n in names])
+    largest = F.greatest(*[F.col(n).cast("double") for n in names], joined) if len(names) > 1 else joined
+    alone = F.greatest(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0])
+    size = F.when(_any_null(keys), alone.cast("double")).otherwise(largest)
+    hot = pin(counts.where(size > limits.hot_rows))
+    return None if hot.isEmpty() else hot
+
+
+def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose key is not among the hot ones, and those whose key is; NULL is a key like any other."""
+    listed = hot.select(hot.columns[0]).toDF("__hot")
+    # Bounded by all rows over limits.hot_rows: a million keys for 10^12 rows.
+    same = F.col(key).eqNullSafe(F.col("__hot"))
+    return df.join(F.broadcast(listed), same, "left_anti"), df.join(F.broadcast(listed), same, "left_semi")
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -45,6 +58,28 @@ def _cells(rows: Column, limits: Limits) -> Column:
     return F.greatest(F.lit(1), F.ceil(rows / F.lit(limits.hot_rows))).cast("int")
 
 
+def _grid(hot: DataFrame, keys: list[str], one_column: bool, limits: Limits) -> DataFrame:
+    """The lines and columns of each hot key: so many that a cell joins to about limits.hot_rows rows."""
+    left, right = F.col("rows_0").cast("double"), F.greatest(F.col("rows_1"), F.lit(1)).cast("double")
+    columns = F.lit(1) if one_column else _cells(right, limits)
+    lines = _cells(left * F.ceil(right / columns), limits)
+    lines = F.least(lines, F.greatest(F.col("rows_0"), F.lit(1))).cast("int")
+    return hot.select(*keys, lines.alias("__lines"), columns.alias("__columns"))
+
+
+def _with_grid(df: DataFrame, grid: DataFrame, keys: list[str], small: bool, scatter: Column) -> DataFrame:
+    """Lines and columns of each row, 1 and 1 for keys that are not hot. A grid too large to broadcast
+    is copied SALT times, so that a hot key does not gather in one task here either."""
+    one = F.lit(1)
+    if small:
+        found = df.join(F.broadcast(grid), keys, "left")
+    else:
+        salted = grid.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
+        found = df.withColumn("__salt", F.pmod(scatter, F.lit(SALT))).join(salted, [*keys, "__salt"], "left")
+        found = found.drop("__salt")
+    return found.withColumns({"__lines": F.coalesce("__lines", one), "__columns": F.coalesce("__columns", one)})
+
+
 def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
@@ -54,7 +89,8 @@ def spread_left_join(
     right: DataFrame,
     keys: list[str],
     residual: Column | None = None,
-    hot: list[Row] | None = None,
+    hot: DataFrame | None = None,
+    counted: bool = False,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """left LEFT JOIN right ON the key columns (same names on both sides) AND residual.
@@ -64,34 +100,25 @@ def spread_left_join(
     task holds a whole hot group. The residual may use columns of both sides; with it a left row
     is never copied, as its cell alone must tell whether it has a match.
 
-    `hot` is the result of heavy_keys for the two sides, where the caller can get it from less
-    than the whole of `left`; its rows hold the keys by position. Every hot key must be counted
-    on the right side as it is there.
+    `hot` is the result of heavy_keys for the two sides, its key columns in the order of `keys`, where
+    the caller can get it from less than the whole of `left`; `counted` says that None means
+    there is none. Every hot key must be counted on the right side as it is there.
     """
-    if hot is None:
+    if hot is None and not counted:
         hot = heavy_keys([left.select(*keys), right.select(*keys)], limits)
-    hot = [row for row in hot if None not in row[: len(keys)]]
     right = right.where(~_any_null(keys))
-    line = F.when(_any_null(keys), F.pmod(_row_hash(left), F.lit(NULL_SPREAD)))
-    if not hot:
+    row_hash = _row_hash(left)
+    line = F.when(_any_null(keys), F.pmod(row_hash, F.lit(NULL_SPREAD)))
+    if hot is None:
         left = left.withColumn("__line", line.otherwise(F.lit(0)))
         right = right.withColumn("__line", F.lit(0).cast("long"))
         return _joined(left, right, [*keys, "__line"], residual).drop("__line")
 
-    spark = left.sparkSession
-    schema = left.select(*keys).schema
-    counted = spark.createDataFrame(
-        [tuple(row) for row in hot], schema.add("rows_0", "long").add("rows_1", "long")
-    )
-    columns = F.lit(1) if residual is not None else _cells(F.col("rows_1"), limits)
-    grid = F.broadcast(
-        counted.select(*keys, _cells(F.col("rows_0"), limits).alias("__lines"), columns.alias("__columns"))
-    )
-    one = F.lit(1)
-    row_hash = _row_hash(left)
+    hot = hot.withColumnsRenamed(dict(zip(hot.columns, keys, strict=False))).where(~_any_null(keys))
+    grid = _grid(hot, keys, residual is not None, limits)
+    small = fits(grid, limits) or hot.count() <= GRID_ROWS
     left = (
-        left.join(grid, keys, "left")
-        .withColumns({"__lines": F.coalesce("__lines", one), "__columns": F.coalesce("__columns", one)})
+        _with_grid(left, grid, keys, small, row_hash)
         .withColumn("__line", line.otherwise(F.pmod(row_hash, F.col("__lines"))))
         .withColumn("__column", F.explode(F.sequence(F.lit(0), F.col("__columns") - 1)))
         .drop("__lines")
@@ -106,8 +133,9 @@ def spread_left_join(
             "__copies",
             F.least(F.lit(limits.hot_rows), F.col("__copies") - F.col("__piece") * F.lit(limits.hot_rows)),
         )
-        .join(grid, keys, "left")
-        .withColumns({"__lines": F.coalesce("__lines", one), "__columns": F.coalesce("__columns", one)})
+    )
+    right = (
+        _with_grid(right, grid, keys, small, F.xxhash64(*payload, "__piece"))
         .withColumn(
             "__column",
             F.pmod(F.xxhash64(*payload, "__piece"), F.col("__columns")).cast("int"),

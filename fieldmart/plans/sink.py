@@ -2,17 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fieldmart.functions.normalise import UNASSIGNED_TA
+from fieldmart.params import JobParams
+from fieldmart.schema import OUTPUT
 
 ROWS_PER_FILE = 5_000_000
+# Copies of the columns that scope a run, so that the files keep all columns in their order.
+PARTITIONS = {"part_affiliate": "affiliate_code", "part_therapy_area": "therapy_area_TA"}
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's name for NULL
+FOLDER = re.compile("/".join(f"{part}=([^/]*)" for part in PARTITIONS) + "/[^/]*$")
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    try:
+        return spark.read.parquet(path).inputFiles()
+    except AnalysisException:  # nothing is there yet
+        return []
+
 
+def _in_scope(folder: tuple[str, ...], params: JobParams) -> bool:
+    affiliate, area = (None if value == NULL_FOLDER else unquote(value) for value in folder)
+    if params.affiliate is not None and (affiliate or "").upper() != params.affiliate:
+        return False
+    return params.therapy_areas is None or (UNASSIGNED_TA if area is None else area).upper() in params.therapy_areas
 
-def write_product(df: DataFrame, path: str) -> None:
-    """Parquet under `path`, one folder per affiliate; a run replaces the affiliates it contains."""
+
+def write_product(df: DataFrame, path: str, params: JobParams | None = None) -> None:
+    """Parquet under `path`, one folder per affiliate and therapy area.
+
+    A run replaces the folders it has rows for and leaves those of other affiliates and therapy
+    areas as they are. With `params`, folders within the run's scope for which it has no rows any
+    more are removed, after the new ones are in place.
+    """
+    spark = df.sparkSession
+    before = _files(spark, path) if params is not None else []
+    copies = [F.col(source).cast("string").alias(part) for part, source in PARTITIONS.items()]
     (
-        df.write.mode("overwrite")
+        df.select(*[name for name, _ in OUTPUT], *copies)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .partitionBy("affiliate_code")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
+    # Names of files are never used again: one that outlived the run lies in a folder it did not write.
+    for file in sorted(set(before) & set(_files(spark, path)) if before else ()):
+        folder = FOLDER.search(unquote(file))
+        if folder and _in_scope(folder.groups(), params):
+            stale = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+            stale.getFileSystem(spark._jsc.hadoopConfiguration()).delete(stale, False)
+
+
+def read_product(spark: SparkSession, path: str) -> DataFrame:
+    """The written product, its columns in their order."""
+    return spark.read.parquet(path).select(*[name for name, _ in OUTPUT])

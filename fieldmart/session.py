@@ -9,8 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 MB = 1024 * 1024
 
 
-def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 256 * MB) -> int:
-    """Partitions that keep one shuffle block near target_bytes, in whole waves of cores."""
+def split_bytes(input_bytes: int) -> int:
+    """Bytes of a scan's and of a shuffle's partition. A shuffle has a block for each pair of them, so
+    they grow with the input: 100 TB in partitions of 1 GB are 10^10 blocks of 10 kB, which calls
+    for a push-based or remote shuffle service, or a run per affiliate."""
+    return 16 * MB if input_bytes <= 1024 * MB else 256 * MB if input_bytes <= 1024**4 else 1024 * MB
+
+
+def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int | None = None) -> int:
+    """Partitions of about target_bytes, in whole waves of cores."""
+    target_bytes = target_bytes or max(256 * MB, split_bytes(input_bytes))
     needed = max(1, -(-input_bytes // target_bytes))
     return max(cores, -(-needed // cores) * cores)
 
@@ -40,7 +48,9 @@ def settings(cores: int, input_bytes: int = 0) -> dict[str, str]:
         # Hash joins where the measured partitions of the right side are small: no sort of wide rows.
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(256 * MB if large else 64 * MB),
         SHARED_SHUFFLE[0]: SHARED_SHUFFLE[1],
-        "spark.sql.files.maxPartitionBytes": str(256 * MB if large else 16 * MB),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes(input_bytes)),
+        # Checkpoints go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
@@ -51,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="fieldmart-")
     context.setCheckpointDir(folder)

@@ -51,6 +51,9 @@ class Tables:
 def mapped(df: DataFrame, logical: list[str], physical: Mapping[str, str] | None = None) -> DataFrame:
     """The logical columns of a table, read from the physical columns named for them."""
     physical = physical or {}
+    unknown = sorted(set(physical) - set(logical))
+    if unknown:
+        raise ValueError(f"no logical columns: {unknown}")
     return df.select(*[F.col(f"`{physical.get(name, name)}`").alias(name) for name in logical])
 
 

@@ -300,4 +300,5 @@ def test_table_names():
 
 def test_shuffle_partitions():
     assert shuffle_partitions(0, 8) == 8
-    assert shuffle_partitions(100 * 1024**4, 4000) == 412000
+    assert shuffle_partitions(1024**4, 100) == 4100
+    assert shuffle_partitions(100 * 1024**4, 4000) == 104000

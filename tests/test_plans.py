@@ -13,7 +13,7 @@ from fieldmart.operators import calendar as cal
 from fieldmart.operators import lookups as look
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product
-from fieldmart.plans.sink import write_product
+from fieldmart.plans.sink import read_product, write_product
 from fieldmart.schema import OUTPUT
 from fieldmart.sources.tables import from_catalog, from_parquet, mapped, mapped_table
 
@@ -134,17 +134,41 @@ def test_written_product_reads_back_and_replaces_only_its_affiliates(spark, path
     tables = from_parquet(spark, paths)
     path = str(tmp_path / "product")
     first = JobParams(refreshed_at=datetime(2024, 1, 1))
-    write_product(build_product(tables, first), path)
-    before = spark.read.parquet(path).groupBy("affiliate_code").count()
-    counts = rows(before)
-    write_product(build_product(tables, JobParams(affiliate="DE", refreshed_at=datetime(2024, 2, 2))), path)
-    written = spark.read.parquet(path)
-    assert set(written.columns) == {name for name, _ in OUTPUT}
+    write_product(build_product(tables, first), path, first)
+    counts = rows(read_product(spark, path).groupBy("affiliate_code").count())
+    second = JobParams(affiliate="DE", refreshed_at=datetime(2024, 2, 2))
+    write_product(build_product(tables, second), path, second)
+    written = read_product(spark, path)
+    assert written.columns == [name for name, _ in OUTPUT]
+    assert spark.read.parquet(path).columns[: len(OUTPUT)] == written.columns
     assert rows(written.groupBy("affiliate_code").count()) == counts
     refreshed = written.select("affiliate_code", F.month("last_data_refresh_timestamp")).distinct()
     assert rows(refreshed) == [("DE", 2), ("FR", 1), ("IT", 1), ("JP", 1), ("UKI", 1)]
 
 
+def test_a_run_replaces_its_scope_and_no_more(spark, tmp_path):
+    path = str(tmp_path / "product")
+    names = [name for name, _ in OUTPUT]
+
+    def product(*keys):
+        base = spark.createDataFrame(keys, "affiliate_code string, therapy_area_TA string, product_name string")
+        return base.select(*[F.col(c) if c in base.columns else F.lit(None).cast("string").alias(c) for c in names])
+
+    def stored():
+        found = read_product(spark, path).select("affiliate_code", "therapy_area_TA", "product_name")
+        return sorted(map(tuple, found.collect()), key=repr)
+
+    write_product(product(("DE", "A", "1"), ("DE", "B/x", "1"), ("DE", None, "1"), ("FR", "A", "1")), path, JobParams())
+    write_product(product(("DE", "A", "2")), path, JobParams("DE", ("A",)))
+    assert stored() == [("DE", "A", "2"), ("DE", "B/x", "1"), ("DE", None, "1"), ("FR", "A", "1")]
+    write_product(product(("DE", "A", "3")), path, JobParams("DE", ("A", "B/X", "UNASSIGNED_TA")))
+    assert stored() == [("DE", "A", "3"), ("FR", "A", "1")]
+    write_product(product(("FR", "C", "4")), path, JobParams("FR"))
+    assert stored() == [("DE", "A", "3"), ("FR", "C", "4")]
+    write_product(product(("FR", "D", "5")), path)
+    assert stored() == [("DE", "A", "3"), ("FR", "C", "4"), ("FR", "D", "5")]
+
+
 def test_tables_from_the_catalog(spark, paths):
     for name, path in paths.items():
         view = f"eu_{name}" if name in ("call_detail", "cycle_plan") else name

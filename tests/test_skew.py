@@ -14,13 +14,14 @@ from checks.compare import difference
 from fieldmart.limits import Limits
 from fieldmart.operators.attribution import attribute, overlap_count
 from fieldmart.operators.flags import deciding_date, first_flags, row_numbers
+from fieldmart.operators import skew
 from fieldmart.operators.sizing import fits, which_fit
 from fieldmart.operators.skew import heavy_keys, spread_left_join
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product
 from fieldmart.sources.tables import map_all
 
-TINY = Limits(broadcast_bytes=0, hot_rows=5, hot_keys=1000)
+TINY = Limits(broadcast_bytes=0, hot_rows=5)
 KEYS = ["a", "b", None, "c", "d", "e"]
 
 
@@ -58,14 +59,33 @@ def test_no_cell_holds_a_whole_hot_group(spark):
     assert joined.count() == 400 * 40 + 1
 
 
-def test_heavy_keys_are_bounded_and_see_null(spark):
+def test_heavy_keys_are_all_found_and_see_null(spark):
     one = spark.createDataFrame([(None,)] * 20 + [("a",)] * 10 + [("b",)], "k string")
     two = spark.createDataFrame([("b",)] * 30, "k string")
-    found = {tuple(r) for r in heavy_keys([one, two], Limits(hot_rows=9))}
+    found = {tuple(r) for r in heavy_keys([one, two], Limits(hot_rows=9)).collect()}
     assert found == {(None, 20, 0), ("a", 10, 0), ("b", 1, 30)}
-    # At most three keys can hold more than a third of a side each.
-    many = spark.range(3000).select((F.col("id") % 1000).cast("string").alias("k"))
-    assert heavy_keys([many], Limits(hot_rows=1, hot_keys=3)) == []
+    many = spark.range(100_000).select((F.col("id") % 50).cast("string").alias("k"))
+    assert heavy_keys([many], Limits(hot_rows=100)).count() == 50
+    assert heavy_keys([many], Limits(hot_rows=2000)) is None
+
+
+def test_keys_are_hot_by_their_joined_rows(spark):
+    left = spark.range(60).select(F.lit("a").alias("k"), F.col("id").alias("v"))
+    right = spark.range(60).select(F.lit("a").alias("k"), F.col("id").alias("w"))
+    assert [tuple(r) for r in heavy_keys([left.select("k"), right.select("k")], Limits(hot_rows=100)).collect()] == [("a", 60, 60)]
+    joined = spread_left_join(left, right, ["k"], limits=Limits(hot_rows=100))
+    assert joined.count() == 3600
+    per_task = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 3600
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_many_hot_keys_are_joined_without_a_broadcast(spark, monkeypatch, most):
+    monkeypatch.setattr(skew, "GRID_ROWS", most)
+    left = spark.range(600).select((F.col("id") % 40).cast("string").alias("k"), F.col("id").alias("v"))
+    right = spark.range(400).select((F.col("id") % 50).cast("string").alias("k"), (F.col("id") % 3).alias("w"))
+    found = spread_left_join(left, right, ["k"], limits=TINY)
+    assert rows(found.select("k", "v", "w")) == rows(left.join(right, "k", "left").select("k", "v", "w"))
 
 
 def test_measured_sizes(spark):
@@ -96,7 +116,8 @@ def test_hot_flags_and_numbers_equal_plain_ones(spark, seed, add):
     prefer = deciding_date()
     plain = add(df, "call_id", prefer, order, grains)
     for hot in (["a", None], [None], ["a", "b", "c"]):
-        found = add(df, "call_id", prefer, order, grains, hot, TINY)
+        keys = spark.createDataFrame([(k,) for k in hot], "call_id string")
+        found = add(df, "call_id", prefer, order, grains, keys, TINY)
         if add is first_flags:
             assert rows(found) == rows(plain)
         else:  # equal rows may share out their numbers between grains
@@ -161,3 +182,12 @@ def test_product_with_a_third_of_the_rows_in_one_call_and_some_without_id(spark,
     assert expected.count() > 10_000
     found = build_product(tables, JobParams(affiliate="DE", refreshed_at=when, limits=Limits(hot_rows=100)))
     assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+@pytest.mark.parametrize("name, add, grains", [
+    ("q_first_flags", first_flags, catalog.FLAG_GRAINS), ("q_row_numbers", row_numbers, catalog.RANKS)
+])
+def test_registered_flags_with_hot_calls(spark, sf_dir, duck, name, add, grains):
+    flagged = catalog._flagged(catalog.Inputs(spark, sf_dir), add=add, grains=grains, limits=Limits(hot_rows=2))
+    columns = catalog.REGISTRY[name](spark, sf_dir).columns
+    assert difference(flagged.select(columns), duck, driver.oracle_sql()[name]) is None
