@@ -28,7 +28,7 @@ LOGICAL_COLUMNS = {
     "non_promotional": ["source_product_name", "promotional_call_yn"],
     "postal_mapping": ["plz", "ort", "ortkurz", "ims"],
 }
-WALL_CLOCK_COLUMNS = {"call_detail": ["call_dt"], "cycle_plan": ["strt_dt", "end_dt"]}
+WALL_CLOCK_COLUMNS = {"cycle_plan": ["strt_dt", "end_dt"]}
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,7 @@ def mapped(df: DataFrame, logical: list[str], physical: Mapping[str, str] | None
 
 
 def mapped_table(name: str, df: DataFrame, physical: Mapping[str, str] | None = None) -> DataFrame:
-    """A table under its logical names; dates that planning compares become wall-clock times."""
+    """A table under its logical names; the dates of the plan become wall-clock times."""
     read = mapped(df, LOGICAL_COLUMNS[name], physical)
     casts = {c: F.col(c).cast(WALL_CLOCK) for c in WALL_CLOCK_COLUMNS.get(name, [])}
     return read.withColumns(casts) if casts else read

@@ -16,7 +16,7 @@ from fieldmart.plans.product import in_scope
 from fieldmart.params import JobParams
 from fieldmart.schema import FLAG_GRAINS, GEO_COLUMNS
 from fieldmart.session import shuffle_partitions
-from fieldmart.sources.tables import table_name
+from fieldmart.sources.tables import mapped, table_name
 
 CALENDAR = "afl_id string, ta string, spl_cyc string, strt_dt timestamp_ntz, end_dt timestamp_ntz"
 CALLS = "call_id string, ta string, afl_id string, call_dt timestamp_ntz"
@@ -302,3 +302,23 @@ def test_shuffle_partitions():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(1024**4, 100) == 4100
     assert shuffle_partitions(100 * 1024**4, 4000) == 104000
+
+
+def test_call_dates_keep_their_type_and_open_cycles_stay_few(spark):
+    calls = spark.createDataFrame([("1", "T", "DE", day("2024-02-03").date()), ("2", "T", "DE", None)],
+                                  "call_id string, ta string, afl_id string, call_dt date")
+    plan = [("DE", "T", "CC", day("1900-01-01"), day("9999-12-31")), ("DE", "T", "PC", day("2024-02-03"), day("2024-02-03"))]
+    calendar = spark.createDataFrame(plan, CALENDAR)
+    for small in (True, False):
+        found = attribute(calls, calendar, small=small)
+        assert found.schema["call_dt"].dataType.simpleString() == "date"
+        assert sorted((r.call_id, r.spl_cyc or "") for r in found.collect()) == [("1", "CC"), ("1", "PC"), ("2", "")]
+
+
+def test_names_and_codes_are_validated(spark):
+    with pytest.raises(ValueError):
+        JobParams(affiliate="de")
+    with pytest.raises(ValueError):
+        JobParams(therapy_areas=("ONCOLOGY", "other"))
+    with pytest.raises(ValueError):
+        mapped(spark.range(1), ["id"], {"idd": "id"})
