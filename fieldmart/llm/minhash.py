@@ -21,7 +21,9 @@ SKETCH = 64
 # the expected share is 0.75 with a standard deviation of 0.054; this is five of them below.
 SHARED = 0.47
 SMALL_LIST = 8  # members of an inverted list that are all compared in the first round
-PIVOTS = (1, 8, 64)  # of longer lists, round by round; then all
+PIVOTS = (1, 8)  # of longer lists, round by round; then all, in blocks
+BLOCK = 2048  # members of a list in one block
+WIDE_SKETCH = 256  # smallest shingle hashes that blocks compare, their highest 32 bits
 BROADCAST_ROWS = 500_000
 
 SKETCHED = "part int, doc_id long, n_shingles long, set long, sketch array<long>"
@@ -163,8 +165,8 @@ def _inverted_lists(sketches: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.pin(rarest.select(F.col("one.value").alias("value"), "set", "n"), "lists")
 
 
-def _pairs(lists_: DataFrame, roots: DataFrame | None, pivots: int | None, turn: int, similar: int) -> DataFrame:
-    """Distinct pairs (a, b) of each list: of its pivots with the members outside their component."""
+def _open_members(lists_: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+    """(value, set, n, root, length) of the lists that are not one component yet; small ones only in the first round."""
     members = lists_.withColumn("root", F.col("set"))
     if roots is not None:
         known = roots.select(F.col("vertex").alias("set"), F.col("root").alias("known"))
@@ -175,21 +177,85 @@ def _pairs(lists_: DataFrame, roots: DataFrame | None, pivots: int | None, turn:
     open_lists = lengths.where("first <> last").select("value", "length")
     if turn:
         open_lists = open_lists.where(F.col("length") > SMALL_LIST)
-    members = members.join(open_lists, "value")
+    return members.join(open_lists, "value")
+
+
+def _pairs(members: DataFrame, pivots: int, similar: int) -> DataFrame:
+    """Distinct pairs (a, b) of each list: of its pivots with the members outside their component."""
     chosen = members.select("value", "length", F.col("set").alias("pivot"), F.col("root").alias("pivot_root"), F.col("n").alias("m"))
-    if pivots is not None:
-        every = chosen.where(F.col("length") <= SMALL_LIST)
-        longer = chosen.where(F.col("length") > SMALL_LIST).withColumn("slot", F.pmod(F.xxhash64("pivot"), F.lit(pivots)))
-        one = F.min(F.struct("pivot", "pivot_root", "m")).alias("one")
-        longer = longer.groupBy("value", "slot").agg(one).select("value", "one.*")
-        chosen = every.select(*longer.columns).union(longer)
-    else:
-        chosen = chosen.drop("length")
+    every = chosen.where(F.col("length") <= SMALL_LIST)
+    longer = chosen.where(F.col("length") > SMALL_LIST).withColumn("slot", F.pmod(F.xxhash64("pivot"), F.lit(pivots)))
+    one = F.min(F.struct("pivot", "pivot_root", "m")).alias("one")
+    longer = longer.groupBy("value", "slot").agg(one).select("value", "one.*")
+    chosen = every.select(*longer.columns).union(longer)
     met = members.join(chosen, "value").where("root <> pivot_root")
     met = met.where(100 * F.least("n", "m") >= similar * F.greatest("n", "m"))
     return met.select(F.least("set", "pivot").alias("a"), F.greatest("set", "pivot").alias("b")).distinct()
 
 
+def _wide_sketches(words: int):
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = [shingles(text, words)[:WIDE_SKETCH] for (text,) in lists(rows, "text")]
+            yield batch("set long, wide binary", [rows.column("set"), [(x >> np.uint64(31)).astype("<u4").tobytes() for x in found]])
+
+    return sketch
+
+
+def _compare_blocks(similar: int):
+    """Pairs of two blocks of a list that may be similar, each pair in the list of its smallest common value only."""
+    least = similar / 100 - 5 * float(np.sqrt(similar / 100 * (1 - similar / 100) / WIDE_SKETCH))
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        value, p, q = (x.as_py() for x in key)
+        rows = table.to_pydict()
+        block, n, root = (np.array(rows[name]) for name in ("block", "n", "root"))
+        wide = [np.frombuffer(x, dtype="<u4") for x in rows["wide"]]
+        flat, width = [v for own in rows["values"] for v in own], max(map(len, rows["values"]))
+        distinct, codes = np.unique(np.array(flat, dtype=np.int64), return_inverse=True)
+        codes = iter(codes)
+        held = np.full((len(n), width), len(distinct))
+        for i, own in enumerate(rows["values"]):
+            held[i, : len(own)] = [next(codes) for _ in own]
+        this = int(np.searchsorted(distinct, value))
+        out = []
+        for i in np.flatnonzero(block == p):
+            fit = (block == q) & (root != root[i])
+            fit &= 100 * np.minimum(n, n[i]) >= similar * np.maximum(n, n[i])
+            if p == q:
+                fit[: i + 1] = False
+            others = np.flatnonzero(fit)
+            smaller = held[i][held[i] < this]
+            if len(smaller) and len(others):
+                mark = np.zeros(len(distinct) + 1, dtype=bool)
+                mark[smaller] = True
+                others = others[~mark[held[others]].any(axis=1)]
+            for j in others:
+                whole = max(n[i], n[j]) <= WIDE_SKETCH
+                # Of whole sets only the 32 bits can err.
+                if estimate(wide[i], wide[j], WIDE_SKETCH) >= (similar / 100 - 0.02 if whole else least):
+                    out.append((min(rows["set"][i], rows["set"][j]), max(rows["set"][i], rows["set"][j])))
+        return pa.Table.from_batches([batch_of_rows("a long, b long", out)])
+
+    return compare
+
+
+def _block_pairs(members: DataFrame, wide: DataFrame, similar: int) -> DataFrame:
+    """All pairs across components of the lists that are left, compared within tasks of two blocks each.
+
+    A member travels with its sketch once per block of its list, not once per pair, so a list of m
+    members costs m * m / BLOCK rows; only pairs that pass the estimate leave a task.
+    """
+    per_set = members.groupBy("set").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    rows = members.join(per_set, "set").join(wide, "set")
+    blocks = F.ceil(F.col("length") / BLOCK).cast("long")
+    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
+    rows = rows.select("value", "p", "q", "block", "set", "n", "root", "values", "wide")
+    return rows.groupBy("value", "p", "q").applyInArrow(_compare_blocks(similar), "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     scratch: Scratch,
@@ -205,8 +271,8 @@ def near_duplicates(
 
     Long lists are not expanded into all pairs. In each round a few members of a list are compared
     with all those that are not yet in their component; once a list is one component it is done.
-    What is still apart after the last number of pivots is compared completely, so no list is
-    cut short. Pairs within a component need no comparison, as they cannot change it.
+    What is still apart after the last number of pivots is compared completely, block by block of a
+    list, so no list is cut short. Pairs within a component need no comparison, as they cannot change it.
 
     Sets without words link with nothing; null texts have no words. Null ids take part: their
     component_id is the smallest id reachable, null if there is none, and `kept` says whether both are equal.
@@ -234,18 +300,22 @@ def near_duplicates(
 
     roots, tested, links = None, None, None
     for turn, pivots in enumerate((*PIVOTS, None)):
-        pairs = _pairs(inverted, roots, pivots, turn, similar)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.pin(pairs, f"pairs-{turn}")
-        if pairs.isEmpty():
-            if turn and pivots is not None:
-                continue
+        members = scratch.pin(_open_members(inverted, roots, turn), f"members-{turn}")
+        if members.isEmpty():
             break
-        tested = pairs if tested is None else tested.union(pairs)
-        with_sketches = pairs.join(own_sketches.withColumnsRenamed({"set": "a", "sketch": "sketch_a"}), "a")
-        with_sketches = with_sketches.join(own_sketches.withColumnsRenamed({"set": "b", "sketch": "sketch_b"}), "b")
-        promising = with_sketches.mapInArrow(_promising(sketch_size, similar), "a long, b long")
+        if pivots is None:
+            wide = texts.mapInArrow(_wide_sketches(words), "set long, wide binary")
+            promising = _block_pairs(members, wide, similar)
+        else:
+            pairs = _pairs(members, pivots, similar)
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = scratch.pin(pairs, f"pairs-{turn}")
+            tested = pairs if tested is None else tested.union(pairs)
+            promising = pairs.join(own_sketches.withColumnsRenamed({"set": "a", "sketch": "sketch_a"}), "a")
+            promising = promising.join(own_sketches.withColumnsRenamed({"set": "b", "sketch": "sketch_b"}), "b")
+            promising = promising.mapInArrow(_promising(sketch_size, similar), "a long, b long")
+        promising = scratch.pin(promising, f"promising-{turn}")
         with_texts = promising.join(texts.withColumnsRenamed({"set": "b", "text": "text_b"}), "b")
         with_texts = with_texts.join(texts.withColumnsRenamed({"set": "a", "text": "text_a"}), "a")
         found = scratch.pin(with_texts.mapInArrow(_verified(words, similar), "a long, b long"), f"links-{turn}")

@@ -69,7 +69,8 @@ def test_against_brute_force(documents, scratch, seed):
 
 def test_long_lists_and_chains(documents, scratch, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL_LIST", 2)
-    monkeypatch.setattr(minhash, "PIVOTS", (1, 2))
+    monkeypatch.setattr(minhash, "PIVOTS", (1,))
+    monkeypatch.setattr(minhash, "BLOCK", 7)
     base = [f"b{i}" for i in range(60)]
     # Each text is similar to the next one only: the ends of the chain are far apart.
     rows = [(900 - i, " ".join(base[i * 3 :] + [f"c{j}" for j in range(i * 3)])) for i in range(20)]
