@@ -137,7 +137,8 @@ def q_interaction_default(t):
 
 @register
 def q_clm_flag(t):
-    return t.read("fx_call_hist_a").select("id", n.text_flag(F.col("clm_vod__c")).alias("is_clm_call"))
+    both = t.read("fx_call_hist_a").unionByName(t.read("fx_call_hist_b"))
+    return both.select("id", n.text_flag(F.col("clm_vod__c")).alias("is_clm_call"))
 
 
 @register

@@ -91,16 +91,16 @@ FIXTURES = {
     "fx_call_dtl": _calls(list(CALL_RULES)),
     "fx_call_dtl_wide": _calls(CALL_COLUMNS),
     "fx_samples": f"""
-    SELECT 'O' || {text('l_orderkey')} AS call_id, p_name AS src_prod_nm, {_sample_text},
+    SELECT 'O' || {text('l_orderkey')} AS call_id,
+        CASE WHEN l_returnflag = 'R' THEN p_name ELSE 'unsampled ' || p_name END AS src_prod_nm, {_sample_text},
         l_quantity AS quantity_vod__c, 'S' || {text('l_linenumber')} AS sample_name, {AFFILIATE} AS afl_id
     FROM {{lineitem}} l JOIN {{part}} p ON l_partkey = p_partkey
     JOIN {{orders}} o ON l_orderkey = o_orderkey
-    JOIN {{customer}} c ON o_custkey = c_custkey JOIN {{nation}} n ON c_nationkey = n_nationkey
-    WHERE l_returnflag = 'R'""",
+    JOIN {{customer}} c ON o_custkey = c_custkey JOIN {{nation}} n ON c_nationkey = n_nationkey""",
     "fx_cycle_plan": f"""
     SELECT spl_cyc, ta, {AFFILIATE} AS afl_id, strt_dt, end_dt,
         CASE WHEN copy = 1 THEN 'P9' ELSE 'P' || {text('c_custkey % 4')} END AS sgmnt_prty,
-        'H' || {text('c_custkey')} AS cust_id
+        CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'H' ELSE 'X' END || {text('c_custkey')} AS cust_id
     FROM {{customer}} c JOIN {{nation}} n ON c_nationkey = n_nationkey
     CROSS JOIN (SELECT 'CC' AS spl_cyc, cast('2000-12-01' AS date) AS strt_dt, cast('2001-08-01' AS date) AS end_dt
         UNION ALL SELECT 'PC', cast('2000-06-01' AS date), cast('2000-12-31' AS date)
@@ -109,7 +109,7 @@ FIXTURES = {
         UNION ALL SELECT 'X1', cast('2001-03-31' AS date), cast('2001-03-01' AS date)) cyc
     CROSS JOIN (SELECT DISTINCT p_type AS ta FROM {{part}} WHERE p_type <> 'SMALL') t
     CROSS JOIN {TWO}
-    WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND (copy = 0 OR c_custkey % 5 = 0)
+    WHERE (copy = 0 OR c_custkey % 5 = 0)
         AND NOT (spl_cyc = 'CC' AND (ta IN ('PROMO', 'LARGE') OR n_regionkey IN (0, 4)))""",
     "fx_time_bckt": """
     SELECT CASE WHEN o_orderdate >= '2001-08-01' THEN 'N4MC' WHEN o_orderdate >= '2001-04-01' THEN '4MC'
@@ -137,12 +137,12 @@ FIXTURES = {
         CASE WHEN c_custkey % 6 = 0 THEN 'N' WHEN c_custkey % 2 = 0 THEN 'y' ELSE 'Y' END AS edw_actv_flg
     FROM {{customer}} CROSS JOIN {TWO} WHERE copy = 0 OR c_custkey % 10 = 0""",
     "fx_emp_terr": f"""
-    SELECT 'T' || {text('c_custkey % 25')} AS terr_id, ta, afl_id,
-        CASE WHEN c_custkey % 5 = 0 AND copy = 1 THEN 'Vacant' ELSE 'Active' END AS territory_status,
-        CASE WHEN c_custkey % 25 = 24 THEN 'N' ELSE 'y' END AS edw_actv_flg,
-        CASE WHEN (c_custkey % 25) % 6 = 0 THEN 'Region' ELSE 'Territory' END AS geo_lvl_cd
-    FROM {{customer}} CROSS JOIN {AFFILIATES} CROSS JOIN {_listed('t', 'ta', 'ECONOMY MEDIUM STANDARD')}
-    CROSS JOIN {TWO}""",
+    SELECT 'T' || {text('k')} AS terr_id, ta, afl_id,
+        CASE WHEN k % 5 = 0 AND copy = 1 THEN 'Vacant' ELSE 'Active' END AS territory_status,
+        CASE WHEN k = 24 THEN 'N' ELSE 'y' END AS edw_actv_flg,
+        CASE WHEN k % 6 = 0 THEN 'Region' ELSE 'Territory' END AS geo_lvl_cd
+    FROM (SELECT DISTINCT c_custkey % 25 AS k FROM {{customer}}) c CROSS JOIN {AFFILIATES}
+    CROSS JOIN {_listed('t', 'ta', 'ECONOMY MEDIUM STANDARD')} CROSS JOIN {TWO}""",
     "fx_geo": f"""
     SELECT afl_id, 'B' || {text('k')} AS brik_id, 'Brick ' || {text('k')} AS brik_nm, ta,
         'SI' || {text('k % 5')} AS affiliate_subterritory_id, 'ST' || {text('k % 5')} AS affiliate_subterritory_name,
@@ -156,8 +156,9 @@ FIXTURES = {
         'SR-' || {text('n_regionkey')} AS global_subregion_name, {AFFILIATE} AS affiliate_code
     FROM {{nation}} JOIN {{region}} ON n_regionkey = r_regionkey""",
     "fx_nonpromo": """
-    SELECT upper(p_name) AS source_product_name, 'N' AS promotional_call_yn
-    FROM {part} WHERE p_name LIKE 'red %'""",
+    SELECT CASE WHEN p_name LIKE 'red %' THEN '' ELSE 'UNLISTED ' END || upper(p_name) AS source_product_name,
+        'N' AS promotional_call_yn
+    FROM {part}""",
     "fx_plz": f"""
     SELECT 'Z' || {text('m % 30')} AS plz, 'CITY' || {text('cast(floor(m / 30) AS bigint)')} AS ort,
         'City' || {text('cast(floor(m / 30) AS bigint) + 2')} || ' ' AS ortkurz,

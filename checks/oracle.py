@@ -183,7 +183,7 @@ STATEMENTS = {
     "q_null_dropping_neq": "SELECT call_id, ta FROM fx_call_dtl WHERE ta IS NOT NULL AND ta <> 'PROMO'",
     "q_interaction_default": f"SELECT call_id, brd_nm, src_prod_nm, {_made['interaction_type']} AS interaction_type FROM fx_call_dtl",
     "q_clm_flag": """SELECT id, CASE lower(clm_vod__c) WHEN 'true' THEN 1 WHEN 'false' THEN 0 END AS is_clm_call
-        FROM fx_call_hist_a""",
+        FROM (SELECT * FROM fx_call_hist_a UNION ALL SELECT * FROM fx_call_hist_b)""",
     "q_cycle_label": f"WITH {PLAN} SELECT cust_id, spl_cyc, {_made['cycle']} AS cycle FROM plan",
     "q_normalise_city": "SELECT call_id, upper(trim(split_part(pri_city, ',', 1))) AS city_norm FROM fx_call_dtl",
     "q_text_null_literal": "SELECT c_custkey, 'NULL' AS ms_name FROM customer",
