@@ -189,8 +189,20 @@ def _names_in(sql: str) -> list[str]:
     return sorted(set(re.findall(r"{(\w+)}", sql)))
 
 
+STORED: dict[tuple[str, str], str] = {}  # written stand-ins, by test folder and name
+
+
+def store(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write all stand-ins as Parquet, to be read from there from now on."""
+    for name in FIXTURES:
+        table(spark, sf_dir, name).write.parquet(f"{folder}/{name}")
+        STORED[sf_dir, name] = f"{folder}/{name}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table or a stand-in as a Spark DataFrame."""
+    if (sf_dir, name) in STORED:
+        return spark.read.parquet(STORED[sf_dir, name])
     if name in FIXTURES:
         sql = FIXTURES[name]
         return spark.sql(sql, **{used: table(spark, sf_dir, used) for used in _names_in(sql)})
