@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, text_of
+from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, share_smallest, text_of
 from fieldmart.llm.components import connected
 
 SHINGLE_WORDS = 5
@@ -26,7 +26,7 @@ BLOCK = 2048  # members of a list in one block
 WIDE_SKETCH = 256  # smallest shingle hashes that blocks compare, their highest 32 bits
 BROADCAST_ROWS = 500_000
 
-SKETCHED = "part int, doc_id long, n_shingles long, set long, sketch array<long>"
+SKETCHED = "part int, doc_id long, digest binary, n_shingles long, set long, sketch array<long>"
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -84,10 +84,10 @@ def _sketches(size: int, words: int):
         for rows in batches:
             for start in range(0, rows.num_rows, 512):
                 out = []
-                for part, doc_id, text in lists(rows.slice(start, 512), "part", "doc_id", "text"):
+                for part, doc_id, digest, text in lists(rows.slice(start, 512), "part", "doc_id", "digest", "text"):
                     found = shingles(text, words)
                     key = _fingerprint(found) if len(found) else None
-                    out.append((part, doc_id, len(found), key, found[:size].astype(np.int64)))
+                    out.append((part, doc_id, digest, len(found), key, found[:size].astype(np.int64)))
                 yield batch_of_rows(SKETCHED, out)
 
     return sketch
@@ -278,7 +278,19 @@ def near_duplicates(
     component_id is the smallest id reachable, null if there is none, and `kept` says whether both are equal.
     Repeated rows are in one component. An empty table gives an empty result. Other columns are ignored.
     """
-    own = docs.select(docs["doc_id"].cast(LongType()).alias("doc_id"), text_of(docs).alias("text"))
+    rows = _components(docs, scratch, words, similar, sketch_size)
+    component = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    )
+
+
+def _components(
+    docs: DataFrame, scratch: Scratch, words: int, similar: int, sketch_size: int, digest: Column | None = None
+) -> DataFrame:
+    """(part, doc_id, digest, n_shingles, set, root, component_id) of every row; without words the last three are null."""
+    digest = F.lit(None).cast("binary") if digest is None else digest
+    own = docs.select(docs["doc_id"].cast(LongType()).alias("doc_id"), text_of(docs).alias("text"), digest.alias("digest"))
     parted = own.withColumn("part", F.spark_partition_id())
     rows = scratch.pin(parted.mapInArrow(_sketches(sketch_size, words), SKETCHED), "sketches")
 
@@ -327,21 +339,36 @@ def near_duplicates(
         known = roots.select(F.col("vertex").alias("set"), F.col("root").alias("known"))
         tops = tops.join(known, "set", "left").withColumn("root", F.coalesce("known", "root")).drop("known")
     smallest = tops.groupBy("root").agg(F.min("least").alias("component_id"))
-    tops = tops.join(smallest, "root").select("set", "component_id")
+    tops = tops.join(smallest, "root").select("set", "root", "component_id")
     leaves = leaves.select("part", "set").join(tops, "set")
-    joined = rows.drop("sketch").join(leaves, ["part", "set"], "left")
-    component = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    return rows.drop("sketch").join(leaves, ["part", "set"], "left")
 
 
-def keep_one_of_each(docs: DataFrame, scratch: Scratch, **how) -> DataFrame:
-    """The rows of docs, all their columns, of each component's smallest id.
+def keep_one_of_each(
+    docs: DataFrame,
+    scratch: Scratch,
+    words: int = SHINGLE_WORDS,
+    similar: int = SIMILAR,
+    sketch_size: int = SKETCH,
+) -> DataFrame:
+    """The rows of docs, all their columns, that stay: one of each component, and all without words.
 
-    Rows that share this id with other texts of the component stay as well; rows without an id go
-    if their component has one.
+    The row with the smallest id stays, null ids last; of several texts under this id that with the
+    smallest digest. Rows with equal id and equal text are told apart by nothing; one of them stays.
     """
-    decided = near_duplicates(docs, scratch, **how).where("NOT kept").select(F.col("doc_id").alias("__id"))
-    lost = decided.distinct()
-    return docs.join(lost, docs["doc_id"].cast(LongType()).eqNullSafe(F.col("__id")), "left_anti")
+    digest = F.unhex(F.sha2(text_of(docs).cast("binary"), 256))
+    rows = _components(docs, scratch, words, similar, sketch_size, digest).where("set IS NOT NULL")
+    one = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest").alias("one")
+    decided = share_smallest(scratch.pin(rows.select("part", "root", one), "decided"), "root", "one", "first")
+    decided = decided.withColumn("kept", F.col("one").eqNullSafe(F.col("first")))
+    keys = F.col("one.doc_id").alias("__id"), F.col("one.digest").alias("__digest")
+    decided = scratch.pin(decided.groupBy(*keys, "kept").agg(F.count("*").alias("n")), "fates")
+    meets = docs["doc_id"].cast(LongType()).eqNullSafe(F.col("__id")) & (digest == F.col("__digest"))
+    stay = docs.join(decided.where("NOT kept").select("__id", "__digest"), meets, "left_anti")
+    again = decided.where("kept AND n > 1").select("__id", "__digest")
+    if again.isEmpty():
+        return stay
+    keyed = stay.withColumns({"__own": docs["doc_id"].cast(LongType()), "__text": digest})
+    meets = F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__digest"))
+    repeated = keyed.join(again, meets, "left_semi").dropDuplicates(["__own", "__text"])
+    return keyed.join(again, meets, "left_anti").unionByName(repeated).drop("__own", "__text")

@@ -7,7 +7,7 @@ import pytest
 
 from fieldmart.llm import minhash
 from fieldmart.llm.components import connected
-from fieldmart.llm.minhash import estimate, near_duplicates, shingles
+from fieldmart.llm.minhash import estimate, keep_one_of_each, near_duplicates, shingles
 
 
 def shingle_set(text):
@@ -90,6 +90,30 @@ def test_edges(documents, clash, scratch):
     assert near_duplicates(documents([]), scratch).collect() == []
 
 
+def test_one_row_of_each_stays(documents, scratch):
+    base = [f"b{i}" for i in range(60)]
+    copy, other = " ".join(base), " ".join([*base[:58], "x", "y"])
+    apart = [f"text {i} of its own with words {i * 7}" for i in range(3)]
+    rows = [(1, copy), (None, other), (None, apart[0]), (None, apart[1])]  # a null id goes with its text only
+    alone = [f"c{i}" for i in range(60)]
+    rows += [(5, " ".join(alone)), (9, " ".join(alone[:59])), (9, apart[2])]  # so does a repeated id
+    nulls = [f"d{i}" for i in range(60)]
+    rows += [(None, " ".join(nulls)), (None, " ".join(nulls[:59])), (None, " ".join(nulls[:59]))]  # one of them stays
+    several = [f"e{i}" for i in range(60)]
+    rows += [(20, " ".join(several)), (20, " ".join(several[:59])), (20, " \n".join(several)), (21, " ".join(several[:58]))]
+    rows += [(30, "the same row"), (30, "the same row"), (31, " "), (31, " "), (None, None), (None, "")]
+    whole = documents(rows)
+    kept = keep_one_of_each(whole, scratch)
+    assert kept.columns == whole.columns
+    kept = Counter((r.doc_id, r.text) for r in kept.collect())
+    groups = [[r for r in rows if r[1] and r[1].split()[:1] == [first]] for first in ("d0", "e0")]
+    fixed = [(1, copy), (None, apart[0]), (None, apart[1]), (5, " ".join(alone)), (9, apart[2]), (30, "the same row")]
+    assert all(kept[row] == 1 for row in fixed) and kept[(31, " ")] == 2 and kept[(None, None)] == kept[(None, "")] == 1
+    for group in groups:
+        assert sum(kept[row] for row in set(group)) == 1
+    assert sum(kept.values()) == len(fixed) + 4 + len(groups) and kept[(21, " ".join(several[:58]))] == 0
+
+
 def test_shingles_and_estimate():
     for text in ("", "a", "a b c d e f g a b c d e", "ü " * 9, "x\ty\nz\rp\x0bq\x0cr", "a\x1cb   c"):
         assert len(shingles(text)) == len(shingle_set(text))
