@@ -21,6 +21,8 @@ from fieldmart.llm.common import batch, lists, text_of
 PAD = b"\n" * 12  # the compressor does not look for matches in the last bytes of its input
 CELLS = 48  # lengths above are counted as this one
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
+ORDER = ("hash", "size", "tie")  # of the sample, the same at each reading
+SAMPLED = "hash long, size long, tie long, text string"
 # One search that takes a window's best single match, and one that puts small matches together.
 SEARCHES = ((zstandard.STRATEGY_LAZY2, 4), (zstandard.STRATEGY_BTOPT, 3))
 
@@ -30,6 +32,8 @@ class Settings:
     toxic_rows: int = 3_000  # bounds of the sample that the model is fitted on
     ordinary_rows: int = 6_000
     sample_bytes: int = 64 << 20
+    document_bytes: int = 256 << 10  # of one document in the sample, at most; in slices from all over it
+    slice_bytes: int = 512
     dictionary_bytes: tuple[int, int] = (112_640, 32_768)  # ordinary, toxic
     window_words: int = 1
     cut: float = 0.7  # of the score
@@ -188,11 +192,52 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _share_of_each(sizes: list[int], room: int, most: int) -> int:
+    """The largest bound, up to `most`, at which texts of these sizes, longer ones cut to it, fit in the room."""
+    for i, size in enumerate(sizes := sorted(sizes)):
+        if size * (len(sizes) - i) > room:
+            return min(most, room // (len(sizes) - i))
+        room -= size
+    return most
+
+
+def thinned(text: str, most: int, slice_bytes: int) -> str:
+    """Text of at most `most` bytes: the whole, or slices that lie evenly over it, each of whole words where it has any."""
+    data = text.encode()
+    if len(data) <= most:
+        return text
+    parts = max(1, most // (slice_bytes + 1))
+    size, out = min(slice_bytes, most), []
+    for i in range(parts):
+        start = (len(data) - size) * i // max(1, parts - 1)
+        some = data[start : start + size]
+        words = some.split()
+        if start and not data[start - 1 : start].isspace() and len(words) > 1:
+            some = some[some.index(words[0]) + len(words[0]) :]
+        if data[start + size : start + size + 1].strip() and len(some.split()) > 1:
+            some = some[: some.rindex(words[-1])]
+        out.append(some.decode(errors="ignore").strip())
+    return " ".join(out)
+
+
+def _thinned(most: int, slice_bytes: int):
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for start in range(0, rows.num_rows, 256):
+                some = rows.slice(start, 256)
+                texts = [thinned(text, most, slice_bytes) for (text,) in lists(some, "text")]
+                yield batch(SAMPLED, [*(some.column(name) for name in ORDER), texts])
+
+    return thin
+
+
 def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
     """Fit on a bounded sample of the labelled rows that are not held out.
 
-    The sample is the rows with the smallest hashes, `toxic_rows` and `ordinary_rows` of them and
-    no more than `sample_bytes` of text. The share of toxic rows is counted over all of them.
+    The sample is the rows with the smallest hashes, `toxic_rows` and `ordinary_rows` of them. It holds
+    no more than `sample_bytes` of text: where the texts are longer, all rows stay in it and the longest
+    ones give as many bytes each as the room allows, in slices from all over their text. The share of
+    toxic rows is counted over all of them.
     """
     settings = settings or Settings()
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -203,15 +248,13 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     rows: list[tuple[str, int]] = []
     for toxic, most in ((1, settings.toxic_rows), (0, settings.ordinary_rows)):
         chosen = marks.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id")).limit(most).select("doc_id")
-        sample = own.join(F.broadcast(chosen), "doc_id")
-        room, ids = settings.sample_bytes * most // (settings.toxic_rows + settings.ordinary_rows), []
-        sizes = sample.select("doc_id", F.octet_length("text").alias("size")).orderBy(F.xxhash64("doc_id")).limit(most)
-        for row in sizes.collect():
-            room -= row["size"]
-            if room >= 0:
-                ids.append(row["doc_id"])
-        found = sample.where(F.col("doc_id").isin(ids)).limit(most).collect() if ids else []
-        rows += [(r["text"], toxic) for r in found]
+        order = F.xxhash64("doc_id").alias("hash"), F.octet_length("text").cast("long").alias("size"), F.xxhash64("text").alias("tie")
+        sample = own.join(F.broadcast(chosen), "doc_id").select(*order, "text")
+        room = settings.sample_bytes * most // (settings.toxic_rows + settings.ordinary_rows)
+        sizes = [row["size"] for row in sample.select(*ORDER).orderBy(*ORDER).limit(most).collect()]
+        bound = _share_of_each(sizes, room, settings.document_bytes)
+        thin = sample.mapInArrow(_thinned(bound, settings.slice_bytes), SAMPLED)
+        rows += [(r["text"], toxic) for r in thin.orderBy(*ORDER).limit(most).select("text").collect()]
     return fit(rows, counts.get(1, 0) / max(1, sum(counts.values())), settings)
 
 

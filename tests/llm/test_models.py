@@ -67,6 +67,33 @@ def test_toxicity_of_odd_rows(spark, prose, clash):
     assert {r.score for r in toxicity.score(docs, nothing).collect()} == {0.0}
 
 
+def test_long_documents_leave_room_in_the_sample(spark, prose):
+    docs, labels, truth = prose
+    settings = toxicity.Settings(sample_bytes=1 << 20)
+    # The labelled toxic row that comes first is longer than the room of all toxic rows.
+    marks = labels.where("toxic = 1").where(~toxicity.held_out(F.col("doc_id")))
+    first = marks.orderBy(F.xxhash64("doc_id")).first()["doc_id"]
+    longer = docs.withColumn("text", F.when(F.col("doc_id") == first, F.expr("repeat(text || ' ', 3000)")).otherwise(F.col("text")))
+    model = toxicity.train(longer, labels, settings)
+    assert model.constant is None
+    rest = [r for r in toxicity.score(docs, model).collect() if r.held_out]
+    assert np.mean([r.predicted == truth[r.doc_id] for r in rest]) > 0.95
+
+
+def test_thinned_texts_come_from_the_whole():
+    text = " ".join(f"w{i}" for i in range(100_000))
+    some = toxicity.thinned(text, 20_000, 512)
+    words = [int(w[1:]) for w in some.split()]
+    assert 15_000 < len(some.encode()) <= 20_000 and words == sorted(words)
+    assert words[0] == 0 and words[-1] == 99_999 and max(b - a for a, b in zip(words, words[1:], strict=False)) < 4_000
+    assert all(f" w{i} " in f" {text} " for i in words)
+    assert toxicity.thinned("short é", 20, 512) == "short é"
+    dense = toxicity.thinned("é語" * 9_000, 2_000, 100)
+    assert 1_500 < len(dense.encode()) <= 2_000 and set(dense) <= set("é語 ")
+    assert toxicity._share_of_each([5, 5, 100, 100], 60, 1000) == 25
+    assert toxicity._share_of_each([5, 5, 10], 60, 1000) == 1000 and toxicity._share_of_each([], 60, 9) == 9
+
+
 LETTERS = {"xa": "bdfgk", "xb": "lmnpr", "xc": "stvwz"}
 
 
