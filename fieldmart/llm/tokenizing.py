@@ -19,8 +19,9 @@ class Encoder:
 
     The pre-tokenizer always starts a new token at a single space between two characters that
     are no white space, so the pieces between such spaces are encoded apart, and remembered.
-    Texts with other runs of spaces go to the library whole. About `limit` pieces are kept at
-    most; of too many the later half goes, as frequent pieces come up early.
+    Texts with other runs of spaces, and texts that contain an added token of the vocabulary (its
+    single id, as the library's own encode gives it), go to the library whole. About `limit` pieces are
+    kept at most; of too many the later half goes, as frequent pieces come up early.
     """
 
     def __init__(self, path: str, limit: int = 800_000):
@@ -28,7 +29,7 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.limit = limit
         self.known: dict[str, bytes | None] = {}
         self.tokens: dict[str, bytes] = {}
@@ -62,6 +63,15 @@ class Encoder:
         return out
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
+        marked = [i for i, text in enumerate(texts) if any(token in text for token in self.added)]
+        if not marked:
+            return self._encode_plain(texts)
+        whole = set(marked)
+        plain = iter(self._encode_plain([text for i, text in enumerate(texts) if i not in whole]))
+        own = iter(self._ids([texts[i] for i in marked]))
+        return [next(own if i in whole else plain) for i in range(len(texts))]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
         for store in (self.known, self.tokens):
             if len(store) > self.limit:
                 for piece in list(store)[self.limit // 2 :]:

@@ -97,3 +97,15 @@ def test_encoder_equals_the_library(limit):
         texts = ["".join(chance.choices(parts, k=chance.randint(0, 30))) for _ in range(5)]
         plain = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
         assert encoder.encode(texts) == [np.array(x.ids, dtype="<u4").tobytes() for x in plain]
+
+
+def test_added_tokens_are_the_library_s(documents, scratch):
+    plain = Tokenizer.from_file(default_tokenizer())
+    texts = ["one text <|endoftext|> next", "<|endoftext|>", "a<|endoftext|>b c", "d <|endoftext|>\n e", "<|endoftext| > f", "g h"]
+    ids = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert 50256 in ids[0] and 50256 not in ids[4]
+    for _ in range(2):
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in Encoder(default_tokenizer()).encode(texts)] == ids
+    crc = {r.doc_id: (r.length, r.ids_crc32) for r in pack(documents(list(enumerate(texts))), scratch).collect()}
+    ends = [np.array([*own, 2], dtype="<u4") for own in ids]
+    assert crc == {i: (len(own), zlib.crc32(own.tobytes())) for i, own in enumerate(ends)}

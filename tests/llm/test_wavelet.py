@@ -61,3 +61,9 @@ def test_repeated_ids_keep_all_rows(documents, scratch):
     made = read_tokens(write_tokens(documents(rows), scratch, f"{scratch.path}/d", shard_bytes=50)).collect()
     assert sorted(r.ids_crc32 for r in made) == sorted(r[3] for r in expected(rows))
     assert sorted(r.start for r in made)[0] == 0
+
+
+def test_added_tokens_are_one_id(documents, scratch):
+    rows = [(1, "one text <|endoftext|> next"), (2, "<|endoftext|>"), (3, "after it")]
+    got = {r.doc_id: r for r in read_tokens(write_tokens(documents(rows), scratch)).collect()}
+    assert sorted(tuple(r) for r in got.values()) == sorted(expected(rows))
