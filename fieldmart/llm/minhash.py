@@ -231,9 +231,10 @@ def _compare_blocks(similar: int):
                 mark[smaller] = True
                 others = others[~mark[held[others]].any(axis=1)]
             for j in others:
+                # Whole sets are compared in their complete union, where only the 32 bits can err.
                 whole = max(n[i], n[j]) <= WIDE_SKETCH
-                # Of whole sets only the 32 bits can err.
-                if estimate(wide[i], wide[j], WIDE_SKETCH) >= (similar / 100 - 0.02 if whole else least):
+                size, cut = (2 * WIDE_SKETCH, similar / 100 - 0.02) if whole else (WIDE_SKETCH, least)
+                if estimate(wide[i], wide[j], size) >= cut:
                     out.append((min(rows["set"][i], rows["set"][j]), max(rows["set"][i], rows["set"][j])))
         return pa.Table.from_batches([batch_of_rows("a long, b long", out)])
 

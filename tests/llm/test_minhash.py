@@ -78,6 +78,20 @@ def test_long_lists_and_chains(documents, scratch, monkeypatch):
     assert found(near_duplicates(documents(rows, 4), scratch)) == brute(rows)
 
 
+def test_long_lists_of_whole_sets_lose_no_link(documents, scratch, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL_LIST", 1)
+    monkeypatch.setattr(minhash, "PIVOTS", ())
+    rows = []
+    # 220 of 292 shingles in common, of which the 256 smallest hold less than 73 in 100.
+    for seed in (43, 177, 604, 726, 1378, 1399):
+        words = [f"a{seed}x{i}" for i in range(260)]
+        rows += [(seed, " ".join(words)), (seed + 1, " ".join([*words[:224], *(f"b{seed}x{i}" for i in range(36))]))]
+    # Sets of 240 shingles at 75 in 100 exactly: 180 in common, 60 on one side only.
+    words = [f"c{i}" for i in range(244)]
+    rows += [(5000, " ".join(words)), (5001, " ".join(words[:184]))]
+    assert found(near_duplicates(documents(rows), scratch)) == brute(rows)
+
+
 def test_edges(documents, clash, scratch):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  b"), (6, "a b c"), (None, "a b"), (None, "alone here")]
     rows += [(7, "É x y z q r"), (8, "é x y z q r"), (9, "same text " * 50_000), (10, "same text " * 50_000), (11, "x")]
