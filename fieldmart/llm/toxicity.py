@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +22,8 @@ from fieldmart.llm.common import batch, lists, text_of
 
 PAD = b"\n" * 12  # the compressor does not look for matches in the last bytes of its input
 CELLS = 48  # lengths above are counted as this one
+LONGEST = 23  # bytes of a run that is one window: with its spaces, 46 at most where nothing can be saved
+GRAM = 9  # bytes of the windows of longer runs, as many whole characters as they hold
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
 ORDER = ("hash", "size", "tie")  # of the sample, the same at each reading
 SAMPLED = "hash long, size long, tie long, text string"
@@ -41,10 +45,39 @@ class Settings:
     remembered: int = 400_000  # windows whose lengths a worker keeps
 
 
+@cache
+def _between() -> re.Pattern:
+    """Runs of Unicode punctuation, symbols and separators; marks of vowels belong to their word."""
+    marks = [chr(c) for c in range(1 << 16) if unicodedata.category(chr(c))[0] in "PSZ"]
+    return re.compile(f"[{re.escape(''.join(marks))}\u200b]+")
+
+
+def _cut(run: bytes) -> list[bytes]:
+    """Windows of a long run: its parts between punctuation, of longer parts all GRAM bytes, one character further each."""
+    out = []
+    for part in filter(None, _between().split(run.decode())):
+        data = part.encode()
+        if len(data) <= LONGEST:
+            out.append(b" %b " % data)
+            continue
+        starts = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) & 0xC0 != 0x80)
+        ends = np.append(starts, len(data))
+        ends = ends[np.searchsorted(ends, starts + GRAM, side="right") - 1]
+        out += [data[i:j] for i, j in zip(starts.tolist(), ends.tolist(), strict=True)][: int(np.argmax(ends == len(data))) + 1]
+    return out
+
+
 def windows(text: str, words: int) -> list[bytes]:
-    """Runs of words, in lower case, with a space before and behind."""
-    found = text.encode().lower().split()
-    return [b" %b " % b" ".join(found[i : i + words]) for i in range(0, len(found), words)]
+    """Runs of words, in lower case, with a space before and behind; longer ones in overlapping pieces.
+
+    Words end at any Unicode white space. No window is so long that its compressed length could
+    reach the last cell.
+    """
+    found = " ".join(text.split()).encode().lower().split()
+    runs = found if words == 1 else [b" ".join(found[i : i + words]) for i in range(0, len(found), words)]
+    if max(map(len, runs), default=0) <= LONGEST:
+        return [b" %b " % run for run in runs]
+    return [w for run in runs for w in ([b" %b " % run] if len(run) <= LONGEST else _cut(run))]
 
 
 def train_dictionary(samples: list[bytes], size: int) -> bytes:
@@ -273,7 +306,7 @@ def _scored(model):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
-    Every word of every text is a window. Null and empty texts have no window and get the score
+    Every word of every text is a window, or several if it is long. Null and empty texts have no window and get the score
     of that. Null ids stay null. Repeated rows get equal scores. Other columns are ignored. With no
     labelled rows of both kinds every score is the share of toxic rows.
     """

@@ -94,6 +94,36 @@ def test_thinned_texts_come_from_the_whole():
     assert toxicity._share_of_each([5, 5, 10], 60, 1000) == 1000 and toxicity._share_of_each([], 60, 9) == 9
 
 
+def test_texts_without_spaces_are_scored_by_content(spark):
+    chance = random.Random(5)
+    signs = [chr(0x4E00 + i) for i in range(1500)]
+    kinds = {"cjk": ["".join(chance.choices(signs, k=chance.randint(1, 3))) for _ in range(2000)]}
+    kinds["glued"] = [word(chance) for _ in range(2000)]
+    bad = {"cjk": ["毒蟲毒", "混蛋東西"], "glued": INSULTS}
+    rows = []
+    for i in range(1600):
+        kind, toxic = ("cjk", "glued")[i % 2], int(i % 8 < 2)
+        words = chance.choices(kinds[kind], k=chance.randint(40, 100))
+        for _ in range(len(words) // 20 if toxic else 0):
+            words.insert(chance.randrange(len(words)), chance.choice(bad[kind]))
+        rows.append((i, "".join(words), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    rest = [r for r in toxicity.score(docs, model).collect() if r.held_out]
+    assert np.mean([r.predicted == rows[r.doc_id][2] for r in rest]) > 0.95
+
+
+def test_windows_stay_below_the_last_cell():
+    assert toxicity.windows("You, U\u00a0a\u3000b", 1) == [b" you, ", b" u ", b" a ", b" b "]
+    run = "語" * 4 + "、" + "abc" * 9 + "…" + "กิน" * 9
+    pieces = [w.decode() for w in toxicity.windows(run, 1)]
+    assert pieces[0] == " 語語語語 " and "abcabcabc" in pieces and pieces[-1] == "กิน"
+    noise = np.random.default_rng(1).integers(0x4E00, 0x9FFF, 4000)
+    found = toxicity.windows("".join(map(chr, noise)), 1) + [b" %b " % (b"%023d" % i) for i in range(9)]
+    one = toxicity.compressor(b"plain words", *toxicity.SEARCHES[0])
+    assert max(len(one.compress(w + toxicity.PAD)) for w in found) < toxicity.CELLS - 1
+
+
 LETTERS = {"xa": "bdfgk", "xb": "lmnpr", "xc": "stvwz"}
 
 
