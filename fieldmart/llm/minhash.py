@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -17,9 +18,6 @@ from fieldmart.llm.components import connected
 SHINGLE_WORDS = 5
 SIMILAR = 75  # per cent of the union
 SKETCH = 64
-# Least share of its sketch that a document has in common with a similar one. At a similarity of 0.75
-# the expected share is 0.75 with a standard deviation of 0.054; this is five of them below.
-SHARED = 0.47
 SMALL_LIST = 8  # members of an inverted list that are all compared in the first round
 PIVOTS = (1, 8)  # of longer lists, round by round; then all, in blocks
 BLOCK = 2048  # members of a list in one block
@@ -103,8 +101,17 @@ def estimate(a: np.ndarray, b: np.ndarray, size: int) -> float:
     return int((twice & (both[1:] <= cut)).sum()) / last
 
 
+def least_share(size: int, similar: int) -> float:
+    """Least share of its sketch that a set has in common with a similar one, in whole hundredths.
+
+    The expected share is the similarity; this is five standard deviations below, 0.47 for 64 values and 75 per cent.
+    """
+    share = similar / 100
+    return max(0, math.floor(100 * (share - 5 * math.sqrt(share * (1 - share) / size)))) / 100
+
+
 def _promising(size: int, similar: int):
-    least = similar / 100 * SHARED / 0.75
+    least = least_share(size, similar)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -146,10 +153,10 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _inverted_lists(sketches: DataFrame, scratch: Scratch) -> DataFrame:
+def _inverted_lists(sketches: DataFrame, scratch: Scratch, share: float) -> DataFrame:
     """(value, set, n): for each set its rarest retained values, as many as two similar sets cannot both lack.
 
-    Two sets that share at least the share SHARED of their sketches must meet in the first
+    Two sets that have at least the share `share` of their sketches in common must meet in the first
     values of each by any common order that are more than the rest. The order is by how many sets
     retain a value, so values that many sets have (boilerplate) come last and are seldom needed,
     and values that a single set has take up places without being sent on.
@@ -159,7 +166,7 @@ def _inverted_lists(sketches: DataFrame, scratch: Scratch) -> DataFrame:
     shared = values.join(common, "value")
     per_set = shared.groupBy("set", "n", "size").agg(F.array_sort(F.collect_list(F.struct("sets", "value"))).alias("values"))
     alone = F.col("size") - F.size("values")
-    places = F.col("size") - F.ceil(F.col("size") * F.lit(SHARED)) + 1 - alone
+    places = F.col("size") - F.ceil(F.col("size") * F.lit(share)) + 1 - alone
     rarest = per_set.withColumn("places", places.cast("int")).where("places > 0")
     rarest = rarest.select("set", "n", F.explode(F.expr("slice(values, 1, places)")).alias("one"))
     return scratch.pin(rarest.select(F.col("one.value").alias("value"), "set", "n"), "lists")
@@ -302,7 +309,7 @@ def _components(
     sketches = first.groupBy("set").agg(F.min("sketch").alias("sketch")).join(sets.select("set", "n"), "set")
     sketches = scratch.pin(sketches, "set-sketches")
 
-    inverted = _inverted_lists(sketches, scratch)
+    inverted = _inverted_lists(sketches, scratch, least_share(sketch_size, similar))
     meeting = inverted.groupBy("value").agg(F.count("*").alias("length")).where("length > 1").select("value")
     inverted = scratch.pin(inverted.join(meeting, "value"), "meeting")
     involved = scratch.pin(inverted.select("set").distinct(), "involved")

@@ -92,6 +92,19 @@ def test_long_lists_of_whole_sets_lose_no_link(documents, scratch, monkeypatch):
     assert found(near_duplicates(documents(rows), scratch)) == brute(rows)
 
 
+@pytest.mark.parametrize("similar, size", [(50, 64), (75, 16)])
+def test_share_follows_similarity_and_sketch(documents, scratch, similar, size):
+    assert minhash.least_share(64, 75) == 0.47
+    rows, common = [], {50: 70, 75: 88}[similar]
+    for i in range(120):  # pairs of 100 shingles each, just similar
+        words = [f"a{i}x{j}" for j in range(104)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[: common + 4], *(f"b{i}x{j}" for j in range(100 - common))]))]
+    sets = [shingle_set(text) for _, text in rows[:2]]
+    assert similar <= 100 * len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < similar + 6
+    got = near_duplicates(documents(rows), scratch, similar=similar, sketch_size=size)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_edges(documents, clash, scratch):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  b"), (6, "a b c"), (None, "a b"), (None, "alone here")]
     rows += [(7, "É x y z q r"), (8, "é x y z q r"), (9, "same text " * 50_000), (10, "same text " * 50_000), (11, "x")]
