@@ -1,22 +1,27 @@
-"""Every registered query against its SQL statement, run by another engine."""
+"""Every registered query of the library against its SQL statement, run by another engine."""
 
 import pytest
 
 import __spark_entry__ as driver
+from checks import catalog, oracle
 from checks.compare import difference
 from fieldmart.schema import OUTPUT
 
-QUERIES = driver.queries()
-STATEMENTS = driver.oracle_sql()
+STATEMENTS = oracle.oracle_sql()
 
 
 def test_every_query_has_a_statement():
-    assert set(QUERIES) == set(STATEMENTS)
+    assert set(catalog.REGISTRY) == set(STATEMENTS)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+def test_the_driver_sees_all_queries():
+    assert set(catalog.REGISTRY) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
+@pytest.mark.parametrize("name", list(catalog.REGISTRY))
 def test_query(spark, sf_dir, duck, name):
-    df = QUERIES[name](spark, sf_dir)
+    df = catalog.REGISTRY[name](spark, sf_dir)
     assert difference(df, duck, STATEMENTS[name]) is None
 
 
