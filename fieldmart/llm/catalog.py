@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldmart.llm import langid
 from fieldmart.llm.chat import rotate
@@ -12,6 +13,7 @@ from fieldmart.llm.common import Scratch
 from fieldmart.llm.decontamination import decontaminate
 from fieldmart.llm.exact_dedup import exact_dedup
 from fieldmart.llm.minhash import near_duplicates
+from fieldmart.llm.negatives import hard_negatives
 from fieldmart.llm.packing import pack
 from fieldmart.llm.suffixes import remove_repeats
 from fieldmart.llm.toxicity import score, train
@@ -190,3 +192,35 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    moved = F.try_add(embeddings["label"].cast("long"), F.lit(1)) % 10
+    label = F.when(embeddings["vec_id"] % 7 == 0, moved).otherwise(embeddings["label"])
+    return hard_negatives(embeddings, Scratch(spark, "op13"), label=label)
+
+
+ORACLE_SQL["op13_hard_negatives"] = """
+WITH own AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+           list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM own a JOIN own r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER best::INTEGER AS rank, vec_id AS negative_id, positive_score,
+       score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+    AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10
+"""
