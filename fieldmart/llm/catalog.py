@@ -15,6 +15,7 @@ from fieldmart.llm.exact_dedup import exact_dedup
 from fieldmart.llm.minhash import near_duplicates
 from fieldmart.llm.negatives import hard_negatives
 from fieldmart.llm.packing import pack
+from fieldmart.llm.phrases import collocations
 from fieldmart.llm.suffixes import remove_repeats
 from fieldmart.llm.toxicity import score, train
 from fieldmart.llm.warc import pages_to_warc
@@ -224,3 +225,51 @@ FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
 WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 10
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
+
+
+ORACLE_SQL["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+), places AS (
+    SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+    FROM split, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k
+), counted AS (
+    SELECT lang, words[i:i + k - 1] AS words, count(*) AS f FROM places GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f) AS n FROM counted WHERE len(words) = 1 GROUP BY lang
+), frequent AS (
+    SELECT * FROM counted WHERE f >= 100
+), cuts AS (
+    SELECT c.lang, c.words, k, c.f AS a, l.f AS l, r.f AS r, n,
+           (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score
+    FROM (SELECT *, unnest(range(1, len(words))) AS k FROM frequent) c
+    JOIN frequent l ON l.lang = c.lang AND l.words = c.words[1:k]
+    JOIN frequent r ON r.lang = c.lang AND r.words = c.words[k + 1:]
+    JOIN totals t ON t.lang = c.lang
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, words[i:i + k - 1] AS words, max(f) AS f
+    FROM (SELECT *, unnest(range(1, len(words) - k + 2)) AS i FROM frequent, (SELECT unnest(range(2, 5)) AS k)
+          WHERE len(words) > k)
+    GROUP BY ALL
+), kept AS (
+    SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.words = b.words
+    WHERE i.f IS NULL OR 100 * i.f < 100 * a
+)
+SELECT lang, row_number() OVER best_first AS rank, array_to_string(words, ' ') AS phrase, a, l, r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM kept
+WINDOW best_first AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' '))
+QUALIFY row_number() OVER best_first <= 2000
+"""

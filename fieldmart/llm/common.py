@@ -85,7 +85,7 @@ def share_smallest(rows: DataFrame, group: str, value: str, out: str) -> DataFra
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
-_ARROW |= {"string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+_ARROW |= {"string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
 
 
 def batch(ddl: str, columns: list) -> pa.RecordBatch:
