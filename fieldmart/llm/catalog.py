@@ -16,6 +16,7 @@ from fieldmart.llm.minhash import near_duplicates
 from fieldmart.llm.negatives import hard_negatives
 from fieldmart.llm.packing import pack
 from fieldmart.llm.phrases import collocations
+from fieldmart.llm.prefixes import similar_documents
 from fieldmart.llm.suffixes import remove_repeats
 from fieldmart.llm.toxicity import score, train
 from fieldmart.llm.warc import pages_to_warc
@@ -273,3 +274,8 @@ FROM kept
 WINDOW best_first AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' '))
 QUALIFY row_number() OVER best_first <= 2000
 """
+
+
+@query
+def op12_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), Scratch(spark, "op12"))
