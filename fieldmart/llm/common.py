@@ -8,6 +8,7 @@ import uuid
 
 import pyarrow as pa
 import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +68,12 @@ def read_file(uri: str) -> bytes:
         return source.read()
 
 
+def read_table(uri: str) -> pa.Table:
+    """Called by tasks: a written table that is known to be small."""
+    fs, path = pyarrow.fs.FileSystem.from_uri(uri)
+    return pyarrow.parquet.read_table(path, filesystem=fs)
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column], F.lit(""))
 

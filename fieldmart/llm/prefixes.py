@@ -17,12 +17,13 @@ from fieldmart.llm.components import connected
 
 SHINGLE_WORDS = 4
 SIMILAR = 85  # per cent of the union
-MOST_MATCHES = 16  # a prefix asks for at most so many common tokens
+MATCHES = 16  # common tokens that every set can ask for
 RANKED = 1 << 61  # tokens below this, a quarter of all, come first and are ranked by their frequency
 MATCH_COST, VERIFY_COST = 1, 1  # of one entry of a list, and of one shingle of a candidate
 SMALL_LIST = 8  # members of a list that are all compared in the first round
 PIVOTS = (1, 8)  # of longer lists, round by round; then all, in blocks
 BLOCK = 2048  # members of a list in one block
+BROADCAST_ROWS = 500_000  # of one number
 KNOWN_WORDS = 1 << 19  # words whose hashes a task remembers
 
 SIGNED = "row long, part int, doc_id long, digest binary, n long, ranked int, tokens array<long>, text string"
@@ -68,14 +69,19 @@ def tokens_of(text: str, words: int, hashes: _WordHashes) -> np.ndarray:
     return np.unique(mixed >> np.uint64(1)).astype(np.int64)
 
 
-def prefix_length(n: int, similar: int, matches: int) -> int:
-    """So many first tokens of a set of n hold `matches` of those it shares with any similar set."""
-    return n + -(-similar * n // 100) * -1 + matches
+def least_common(n, m, similar: int):
+    """So many tokens two sets of n and m must share to be similar."""
+    return -(-similar * (n + m) // (100 + similar))
 
 
-def most_matches(n: int, similar: int) -> int:
-    """A similar set shares at least this many tokens, so no more can be asked for."""
-    return min(MOST_MATCHES, -(-similar * n // 100))
+def own_common(n: int, similar: int) -> int:
+    """So many tokens a set of n shares with any similar set, at least."""
+    return -(-similar * n // 100)
+
+
+def prefix_length(n: int, similar: int, matches: int) -> int:
+    """So many first tokens of a set of n hold `matches` of those it shares with any similar set."""
+    return n - own_common(n, similar) + matches
 
 
 def _signed(words: int, similar: int, key: bytes):
@@ -87,7 +93,7 @@ def _signed(words: int, similar: int, key: bytes):
                 for part, doc_id, text in lists(rows.slice(start, 512), "part", "doc_id", "text"):
                     found = tokens_of(text, words, hashes)
                     n, ranked = len(found), int(np.searchsorted(found, RANKED))
-                    offered = max(ranked, prefix_length(n, similar, most_matches(n, similar)))
+                    offered = max(ranked, prefix_length(n, similar, min(MATCHES, own_common(n, similar))))
                     digest = blake2b(found.tobytes(), digest_size=16, key=key).digest() if n else None
                     out.append(((part << 40) + row, part, doc_id, digest, n, ranked, found[:offered], text))
                     row += 1
@@ -96,14 +102,17 @@ def _signed(words: int, similar: int, key: bytes):
     return sign
 
 
-PREFIX = "set long, n long, matches int, first int, prefix array<long>"
+PREFIX = "set long, n long, rest long, first int, prefix array<long>"
 
 
 def choose(n: int, ranked: int, tokens: np.ndarray, sets: np.ndarray, places: np.ndarray, similar: int):
     """How many matches a set asks for, its prefix's shared tokens in order, and how many of them a single match needs.
 
+    `tokens` are those of the set that other `sets` have too, at their `places` among all of its own by hash.
+
     All sets order tokens alike: those below RANKED by frequency, rare ones first, then the others by hash.
-    A longer prefix meets more entries of lists, but of m entries at most m / matches can be candidates.
+    A longer prefix meets more entries of lists, but of m entries at most m / matches can be candidates; among
+    sets of its own size a pair needs `more` matches, as both cannot be similar with less in common.
     """
     counted = places < ranked
     order = np.lexsort((np.where(counted, 0, places), np.where(counted, tokens, 0), np.where(counted, sets, 0), ~counted))
@@ -111,9 +120,10 @@ def choose(n: int, ranked: int, tokens: np.ndarray, sets: np.ndarray, places: np
     # Tokens of one set alone come before all others that are ranked.
     at = np.where(counted, np.arange(len(tokens)) + ranked - counted.sum(), places)
     met = np.concatenate([[0], np.cumsum(sets - 1)])
-    asked = np.arange(1, most_matches(n, similar) + 1)
+    own = own_common(n, similar)
+    asked, more = np.arange(1, min(own, max(MATCHES, ranked - n + own)) + 1), least_common(n, n, similar) - own
     ends = np.searchsorted(at, [prefix_length(n, similar, int(m)) for m in asked])
-    cost = met[ends] * MATCH_COST + met[ends] / asked * n * VERIFY_COST
+    cost = met[ends] * MATCH_COST + met[ends] / (asked + more) * n * VERIFY_COST
     best = int(np.argmin(cost))
     return int(asked[best]), tokens[: ends[best]], int(ends[0])
 
@@ -126,7 +136,7 @@ def _prefixes(similar: int):
                 tokens, sets, places = (rows.column(c)[i].values.to_numpy() for c in ("tokens", "sets", "places"))
                 matches, prefix, first = choose(n, ranked, tokens, sets, places, similar)
                 if first:
-                    out.append((set_, n, matches, first, prefix))
+                    out.append((set_, n, n - prefix_length(n, similar, matches), first, prefix))
             yield batch_of_rows(PREFIX, out)
 
     return shorten
@@ -188,7 +198,7 @@ def _compare_blocks(similar: int):
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         token, p, q = (x.as_py() for x in key)
         table = table.combine_chunks()
-        block, set_, n, root, matches = (table.column(c).to_numpy() for c in ("block", "set", "n", "root", "matches"))
+        block, set_, n, root, rest = (table.column(c).to_numpy() for c in ("block", "set", "n", "root", "rest"))
         prefixes, listed = ([np.asarray(x, dtype=np.int64) for x in table.column(c).to_pylist()] for c in ("prefix", "listed"))
         names, codes = np.unique(np.concatenate(prefixes), return_inverse=True)
         width, this, out = max(map(len, prefixes)), int(np.searchsorted(names, token)), []
@@ -209,7 +219,8 @@ def _compare_blocks(similar: int):
             mark[:] = False
             mark[held[i]] = True
             mark[-1] = False
-            enough = mark[held[others]].sum(axis=1) >= np.minimum(matches[others], matches[i])
+            asked = least_common(n[others], n[i], similar) - np.maximum(rest[others], rest[i])
+            enough = mark[held[others]].sum(axis=1) >= asked
             out += [(min(set_[i], x), max(set_[i], x)) for x in set_[others[enough]]]
         return pa.Table.from_batches([batch_of_rows("a long, b long", out)])
 
@@ -222,12 +233,12 @@ def _block_pairs(members: DataFrame, prefixes: DataFrame, similar: int) -> DataF
     A member travels with its prefix once per block of its list, not once per pair.
     """
     listed = members.groupBy("set").agg(F.collect_list("token").alias("listed"))
-    rows = members.join(listed, "set").join(prefixes.select("set", "matches", "prefix"), "set")
+    rows = members.join(listed, "set").join(prefixes.select("set", "rest", "prefix"), "set")
     blocks = F.ceil(F.col("length") / BLOCK).cast("long")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
-    rows = rows.select("token", "p", "q", "block", "set", "n", "root", "matches", "prefix", "listed")
+    rows = rows.select("token", "p", "q", "block", "set", "n", "root", "rest", "prefix", "listed")
     return rows.groupBy("token", "p", "q").applyInArrow(_compare_blocks(similar), "a long, b long").distinct()
 
 
@@ -237,10 +248,11 @@ def similar_documents(
     """One row per document: doc_id, n_shingles, component_id.
 
     Documents with equal shingle sets are one vertex. A set's tokens are put into an order common to all sets.
-    Of two similar sets of sizes n and m, whatever number of matches l is asked for, the first n -
-    ceil(similar n) + l tokens of the one and as many of the other have l tokens in common. Each set takes
-    the l, and so the prefix, with the least estimated cost; a pair needs the smaller l of both before it
-    is verified on its words. To meet at all, it needs one list of the prefixes for l = 1.
+    Whatever number of matches l is asked for, the first n - ceil(similar n) + l tokens of a set of n hold
+    l of those it shares with any similar set. Each set takes the l, and so the prefix, with the least
+    estimated cost. Two sets must share t tokens; at most as many lie behind the prefix of each as it
+    leaves out, and the others are in both, so a pair needs t less the longer rest before it is verified on its
+    words. To meet at all, it needs one list of the prefixes for l = 1.
 
     Long lists are not expanded into all pairs. In each round a few members of a list are compared with
     those not yet in their component; once a list is one component it is done. What is apart after the last
@@ -257,8 +269,11 @@ def similar_documents(
     sets = leaves.groupBy("digest").agg(F.min("row").alias("set"), F.min("least").alias("least"))
     sets = scratch.pin(sets, "sets")
 
-    own_rows = rows.join(sets.select(F.col("set").alias("row")), "row").withColumnRenamed("row", "set")
-    offered = scratch.pin(own_rows.select("set", F.posexplode("tokens").alias("place", "token")), "offered")
+    copies = some.select("row").join(sets.select(F.col("set").alias("row")), "row", "left_anti")
+    copies = scratch.pin(copies, "copies")
+    copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
+    own_rows = some.join(copies, "row", "left_anti").withColumnRenamed("row", "set")
+    offered = own_rows.select("set", F.posexplode("tokens").alias("place", "token"))
     shared = offered.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
     shared = offered.join(shared, "token").groupBy("set").agg(F.collect_list(F.struct("token", "sets", "place")).alias("one"))
     shared = shared.select("set", *[F.col(f"one.{c}").alias(c) for c in ("token", "sets", "place")])
@@ -284,9 +299,10 @@ def similar_documents(
             if tested is not None:
                 found = found.join(tested, ["a", "b"], "left_anti")
             tested = scratch.pin(found, f"pairs-{turn}")
-            both = _with_both(tested, prefixes, ["matches", "prefix"])
+            both = _with_both(tested, prefixes, ["n", "rest", "prefix"])
             met = F.size(F.array_intersect("prefix_a", "prefix_b"))
-            found = both.where(met >= F.least("matches_a", "matches_b")).select("a", "b")
+            common = F.ceil(F.lit(similar) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + similar))
+            found = both.where(met >= common - F.greatest("rest_a", "rest_b")).select("a", "b")
         found = _with_both(scratch.pin(found, f"candidates-{turn}"), texts, ["text"])
         found = scratch.pin(found.mapInArrow(_verified(words, similar), "a long, b long"), f"links-{turn}")
         links = found if links is None else links.union(found)

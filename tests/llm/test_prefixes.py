@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from fieldmart.llm import prefixes
-from fieldmart.llm.prefixes import choose, prefix_length, shingle_set, similar_documents
+from fieldmart.llm.prefixes import choose, least_common, prefix_length, shingle_set, similar_documents
 
 
 def plain(rows, words=4, similar=85):
@@ -121,7 +121,9 @@ def test_any_pair_of_similar_sets_shares_what_its_prefixes_ask_for():
             matches, prefix, first = choose(len(x), ranked, x, np.array([sizes[int(t)] for t in x]), np.arange(len(x)), 85)
             assert len(prefix) == prefix_length(len(x), 85, matches) and first == prefix_length(len(x), 85, 1)
             taken.append((matches, set(prefix), set(prefix[:first])))
-        assert len(taken[0][1] & taken[1][1]) >= min(taken[0][0], taken[1][0])
+        rests = [len(x) - prefix_length(len(x), 85, t[0]) for x, t in zip((a, b), taken, strict=True)]
+        asked = least_common(len(a), len(b), 85) - max(rests)
+        assert len(taken[0][1] & taken[1][1]) >= asked >= min(taken[0][0], taken[1][0])
         assert taken[0][2] & taken[1][2]
 
 
