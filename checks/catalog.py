@@ -14,13 +14,13 @@ from fieldmart.operators import calendar as cal
 from fieldmart.operators import flags as fl
 from fieldmart.operators import lookups as look
 from fieldmart.operators import waterfall as wf
-from fieldmart.operators.attribution import attribute, overlap_count
+from fieldmart.operators.attribution import attribute, overlap_count, with_one_cycle
 from fieldmart.operators.skew import heavy_keys, split_hot
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product, final_projection
 from fieldmart.schema import CYCLE_COLUMNS, FLAG_GRAINS, OUTPUT, TIEBREAK, WALL_CLOCK
 from fieldmart.session import pin
-from fieldmart.sources.tables import map_all, mapped, mapped_table
+from fieldmart.sources.tables import map_all, mapped, mapped_table, table_name
 
 AFFILIATE = "DE"
 THERAPY_AREAS = ("ECONOMY", "MEDIUM", n.UNASSIGNED_TA)
@@ -89,6 +89,14 @@ def q_scan_mapped(t):
     return mapped(t.read("customer"), list(names), names)
 
 
+@register
+def q_scan_by_region(t):
+    """All columns of the call table, found by the name its region gives it."""
+    t.read("fx_call_dtl_wide").createOrReplaceTempView("eu_call_detail")
+    calls = t.spark.table(table_name("{region}_call_detail", "eu"))
+    return mapped_table("call_detail", calls).where(n.equals_ignoring_case(F.col("afl_id"), AFFILIATE))
+
+
 @register
 def q_samples_scan(t):
     samples = t.read("fx_samples")
@@ -211,25 +219,32 @@ RANKS = {"ranking_call": [], "ranking_product": ["brd_nm"], "ranking_ta": ["ta"]
 FLAG_WAYS = {fl.first_flags: (fl.first_flags, fl.first_flags_of_hot), fl.row_numbers: (fl.row_numbers, fl.numbers_of_hot)}
 
 
-def _flagged(t, bounds="ordered", add=fl.first_flags, grains=FLAG_GRAINS, limits=DEFAULT):
+def _order_of(rows):
+    order = [c for c in TIEBREAK if c in rows.columns]
+    return order + [c for c in rows.columns if c not in [*order, "n"]]
+
+
+def _with_cycles(t, calls, bounds, **way):
     counts = overlap_count(t.call_rows, t.calendar, bounds)
-    plain, spread = FLAG_WAYS[add]
+    return attribute(look.lookup(calls, counts, {"call_id": "call_id"}, **way), t.calendar)
 
-    def enriched(calls, **way):
-        return attribute(look.lookup(calls, counts, {"call_id": "call_id"}, **way), t.calendar)
 
+def _flagged(t, bounds="ordered", add=fl.first_flags, grains=FLAG_GRAINS, limits=DEFAULT):
+    plain, spread = FLAG_WAYS[add]
     calls = t.call_rows
     hot = heavy_keys([calls.select("call_id")], limits)
-    ordinary, crowded = (calls, None) if hot is None else split_hot(calls, "call_id", hot)
-    rows = enriched(ordinary.repartition("call_id").distinct(), balanced=True)
-    order = [c for c in TIEBREAK if c in rows.columns]
-    order += [c for c in rows.columns if c not in [*order, "n"]]
-    rows = plain(rows, "call_id", fl.deciding_date(), order, grains)
+    ordinary, crowded = (calls, None) if hot is None else split_hot(calls, "call_id", hot, limits)
+    ordinary = ordinary.repartition("call_id").distinct()
+    if bounds == "ordered":  # one join with the calendar tells both
+        rows = with_one_cycle(attribute(ordinary, t.calendar))
+    else:
+        rows = _with_cycles(t, ordinary, bounds, balanced=True)
+    rows = plain(rows, "call_id", fl.deciding_date(), _order_of(rows), grains)
     if hot is None:
         return rows
     # Rows of a crowded call never meet in one task: a distinct over all columns, a split join.
-    found = enriched(crowded.distinct(), hot=hot.withColumn("rows_1", F.lit(1).cast("long")), limits=limits)
-    return rows.unionByName(spread(found, "call_id", fl.deciding_date(), order, grains, limits=limits))
+    found = _with_cycles(t, crowded.distinct(), bounds, hot=hot.withColumn("rows_1", F.lit(1).cast("long")), limits=limits)
+    return rows.unionByName(spread(found, "call_id", fl.deciding_date(), _order_of(found), grains, limits=limits))
 
 
 @register
@@ -249,6 +264,12 @@ def q_row_numbers(t):
 
 @register
 def q_metric_rollup(t):
+    rows = _with_cycles(t, t.call_rows, "ordered", balanced=True)
+    return fl.rollup_of_rows(rows, "call_id", fl.deciding_date(), _order_of(rows), ["afl_id", "ta"])
+
+
+@register
+def q_metric_rollup_of_flags(t):
     return fl.metric_rollup(_flagged(t), ["afl_id", "ta"])
 
 

@@ -174,6 +174,7 @@ _scope = f"upper(afl_id) = '{AFFILIATE}' AND upper(coalesce(ta, 'UNASSIGNED_TA')
 
 STATEMENTS = {
     "q_scan_mapped": "SELECT c_custkey AS cust_id, c_name AS cust_nm, c_mktsegment AS clsfn, c_acctbal AS wtg FROM customer",
+    "q_scan_by_region": f"SELECT {', '.join(CALL_COLUMNS)} FROM fx_call_dtl_wide WHERE upper(afl_id) = '{AFFILIATE}'",
     "q_samples_scan": "SELECT * FROM fx_samples WHERE upper(afl_id) = 'FR'",
     "q_cycle_scan": f"WITH {PLAN} SELECT * FROM plan WHERE coalesce(ta, 'UNASSIGNED_TA') IN ({AREAS})",
     "q_distinct_calls": "SELECT DISTINCT * FROM fx_call_dtl",
@@ -204,6 +205,8 @@ STATEMENTS = {
         SELECT {KEY}, call_dt, spl_cyc, cycle_end, {', '.join(RANKS)} FROM flagged""",
     "q_metric_rollup": f"""{_flagged(ORDERED)} SELECT afl_id, ta,
         {', '.join(f'cast(sum({flag}) AS bigint) AS {flag}' for flag in FLAG_GRAINS)} FROM flagged GROUP BY afl_id, ta""",
+    "q_metric_rollup_of_flags": f"""{_flagged(ORDERED)} SELECT afl_id, ta,
+        {', '.join(f'cast(sum({flag}) AS bigint) AS {flag}' for flag in FLAG_GRAINS)} FROM flagged GROUP BY afl_id, ta""",
     "q_latest_snapshot": f"""WITH {CALLS}, {COUNTRY} SELECT {C_KEY}, k.country_name FROM calls c
         LEFT JOIN country k ON k.cntry_id = c.src_cntry_id AND k.afl_id = c.afl_id""",
     "q_dedup_lookup": f"""WITH {CALLS}, {CUSTOMER} SELECT {C_KEY}, primary_address_line_3, primary_address_line_4

@@ -13,41 +13,78 @@ from fieldmart.session import pin
 
 NULL_SPREAD = 1 << 16  # rows with a NULL key match nothing and may lie anywhere
 
-
 GRID_ROWS = 10_000  # hot keys that are always broadcast
 SALT = 256  # copies of a table of hot keys too large to broadcast
 
 
-def heavy_keys(sides: list[DataFrame], limits: Limits = DEFAULT) -> DataFrame | None:
+def heavy_keys(sides: list[DataFrame], limits: Limits = DEFAULT, null_is_heavy: bool = False) -> DataFrame | None:
     """The keys held by more than limits.hot_rows rows, on some side or after the sides are joined,
     with the rows per side; None if there is no such key.
 
-    Each side holds the key columns only, under the same names. Counting is pre-aggregated. The
-    keys are a written table: there are at most as many as limits.hot_rows goes into all rows,
-    and none is left out. They never reach the driver. A key that is NULL is never joined.
+    Each side holds the key columns only, under the same names. Rows are counted by buckets of keys, and
+    keys one by one only in buckets that are full, so nearly unique keys are not grouped. The hot keys are
+    a written table: there are at most as many as limits.hot_rows goes into all rows, and none is left
+    out. They never reach the driver. A key that is NULL is never joined; with `null_is_heavy` it counts
+    as hot as soon as the first side has it.
     """
     keys = sides[0].columns
     names = [f"rows_{i}" for i in range(len(sides))]
-    tagged = [
-        df.select(*keys, *[F.lit(1 if i == j else 0).alias(n) for j, n in enumerate(names)])
-        for i, df in enumerate(sides)
-    ]
-    counts = reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
+    tagged = reduce(
+        DataFrame.unionByName,
+        [
+            df.select(*keys, *[F.lit(1 if i == j else 0).alias(n) for j, n in enumerate(names)])
+            for i, df in enumerate(sides)
+        ],
+    )
+    sums = [F.sum(n).alias(n) for n in names]
     # As decimals and doubles would, so that large counts do not overflow.
     joined = reduce(Column.__mul__, [F.greatest(F.col(n), F.lit(1)).cast("double") for n in names])
     largest = F.greatest(*[F.col(n).cast("double") for n in names], joined) if len(names) > 1 else joined
     alone = F.greatest(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0])
+    # A bucket has at least the rows of each of its keys, so keys need counting only in full buckets.
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(limits.count_buckets)).cast("int")
+    heavy = largest > limits.hot_rows
+    nulls = []
+    if null_is_heavy:
+        nulls = [F.max(_any_null(keys) & (F.col("rows_0") == 1)).alias("__null")]
+        heavy = heavy | F.col("__null")
+    full = pin(tagged.groupBy(bucket.alias("__bucket")).agg(*sums, *nulls).where(heavy).select("__bucket"))
+    if full.isEmpty():
+        return None
+    # At most limits.count_buckets numbers.
+    inside = tagged.withColumn("__bucket", bucket).join(F.broadcast(full), "__bucket", "left_semi")
+    counts = inside.groupBy(*keys).agg(*sums)
     size = F.when(_any_null(keys), alone.cast("double")).otherwise(largest)
-    hot = pin(counts.where(size > limits.hot_rows))
+    heavy = size > limits.hot_rows
+    if null_is_heavy:
+        heavy = heavy | (_any_null(keys) & (F.col("rows_0") > 0))
+    hot = pin(counts.where(heavy))
     return None if hot.isEmpty() else hot
 
 
-def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of df whose key is not among the hot ones, and those whose key is; NULL is a key like any other."""
+def split_hot(
+    df: DataFrame, key: str, hot: DataFrame, limits: Limits = DEFAULT
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose key is not among the hot ones, and those whose key is; NULL is a key like any other.
+
+    A list of hot keys too large to broadcast is copied SALT times and joined by key and salt, so that the
+    rows of a hot key do not gather in one task.
+    """
     listed = hot.select(hot.columns[0]).toDF("__hot")
-    # Bounded by all rows over limits.hot_rows: a million keys for 10^12 rows.
     same = F.col(key).eqNullSafe(F.col("__hot"))
-    return df.join(F.broadcast(listed), same, "left_anti"), df.join(F.broadcast(listed), same, "left_semi")
+    if few(listed, limits):
+        listed, salted = F.broadcast(listed), df
+    else:
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))
+        listed = listed.withColumn("__copy", F.explode(salts))
+        salted = df.withColumn("__salt", F.pmod(_row_hash(df), F.lit(SALT)))
+        same = same & (F.col("__salt") == F.col("__copy"))
+    return tuple(salted.join(listed, same, how).drop("__salt") for how in ("left_anti", "left_semi"))
+
+
+def few(hot: DataFrame, limits: Limits) -> bool:
+    """Whether a written table of hot keys may be broadcast."""
+    return hot.limit(GRID_ROWS + 1).count() <= GRID_ROWS or fits(hot, limits)
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -116,7 +153,7 @@ def spread_left_join(
 
     hot = hot.withColumnsRenamed(dict(zip(hot.columns, keys, strict=False))).where(~_any_null(keys))
     grid = _grid(hot, keys, residual is not None, limits)
-    small = fits(grid, limits) or hot.count() <= GRID_ROWS
+    small = few(grid, limits)
     left = (
         _with_grid(left, grid, keys, small, row_hash)
         .withColumn("__line", line.otherwise(F.pmod(row_hash, F.col("__lines"))))

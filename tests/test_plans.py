@@ -7,14 +7,20 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from checks import fixtures
+from checks import catalog, fixtures
 from fieldmart.functions import normalise as n
 from fieldmart.operators import calendar as cal
+from fieldmart.limits import Limits
 from fieldmart.operators import lookups as look
+from fieldmart.operators import skew
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product
-from fieldmart.plans.sink import read_product, write_product
+from fieldmart.operators.attribution import attribute
+from fieldmart.operators.skew import split_hot
+from fieldmart.plans import sink
+from fieldmart.plans.sink import clean_product, read_product, write_product
 from fieldmart.schema import OUTPUT
+from fieldmart.session import pin
 from fieldmart.sources.tables import from_catalog, from_parquet, mapped, mapped_table
 
 
@@ -54,16 +60,15 @@ def named(df, name):
     return [(columns, text) for node, columns, text in nodes(df) if node == name]
 
 
-def test_product_shuffles_calls_twice_and_scans_them_whole_once(spark, paths, no_automatic_broadcast):
-    df = build_product(from_parquet(spark, paths), JobParams())
+@pytest.mark.parametrize("late", [False, True])
+def test_product_shuffles_and_scans_whole_calls_once(spark, paths, no_automatic_broadcast, late):
+    df = build_product(from_parquet(spark, paths), JobParams(flags_after_enrichment=late))
     wide = [text.split("\n")[0] for columns, text in named(df, "Exchange") if "rest" in columns]
-    assert len(wide) == 2
-    assert any("hashpartitioning(call_id" in text for text in wide)
-    assert any("hashpartitioning(cust_id" in text for text in wide)
+    assert len(wide) == 1 and "hashpartitioning(call_id" in wide[0]
     scans = [columns for node, columns, _ in nodes(df) if node.startswith("Scan parquet")]
     assert sum("afl_nm" in columns for columns in scans) == 1
     narrow = [columns for columns in scans if "call_dt" in columns and "afl_nm" not in columns]
-    assert narrow and all(set(columns) <= {"call_id", "ta", "afl_id", "call_dt"} for columns in narrow)
+    assert narrow and all(set(columns) <= {"call_id", "ta", "afl_id", "call_dt", "cust_id"} for columns in narrow)
 
 
 def test_product_broadcasts_measured_lookups_and_sorts_no_result(spark, paths, no_automatic_broadcast):
@@ -71,13 +76,13 @@ def test_product_broadcasts_measured_lookups_and_sorts_no_result(spark, paths, n
     names = [name for name, _, _ in nodes(df)]
     wide_hash_joins = [c for c, _ in named(df, "BroadcastHashJoin") if "rest" in c]
     assert len(wide_hash_joins) == 9  # calendar, four lookups, four steps of the waterfall
-    assert len([c for c, _ in named(df, "SortMergeJoin") if "rest" in c]) == 5
+    assert len([c for c, _ in named(df, "SortMergeJoin") if "rest" in c]) == 4  # three by call id, and what customers brought
     assert len([c for c, _ in named(df, "Window")]) == 3
     assert "CartesianProduct" not in names and "BroadcastNestedLoopJoin" not in names
     assert not any("rangepartitioning" in text.split("\n")[0] for _, text in named(df, "Exchange"))
 
 
-def test_calls_bucketed_by_id_are_shuffled_once(spark, paths, no_automatic_broadcast, tmp_path):
+def test_calls_bucketed_by_id_are_not_shuffled(spark, paths, no_automatic_broadcast, tmp_path):
     calls = spark.read.parquet(paths["call_detail"])
     writer = calls.write.bucketBy(4, "call_id").sortBy("call_id").option("path", str(tmp_path / "calls"))
     writer.mode("overwrite").saveAsTable("bucketed_calls")
@@ -85,7 +90,7 @@ def test_calls_bucketed_by_id_are_shuffled_once(spark, paths, no_automatic_broad
         tables = replace(from_parquet(spark, paths), call_detail=mapped_table("call_detail", spark.table("bucketed_calls")))
         df = build_product(tables, JobParams(bucketed_by_call=True))
         wide = [text.split("\n")[0] for columns, text in named(df, "Exchange") if "rest" in columns]
-        assert len(wide) == 1 and "hashpartitioning(cust_id" in wide[0]
+        assert not wide
     finally:
         spark.sql("DROP TABLE bucketed_calls")
 
@@ -140,7 +145,7 @@ def test_written_product_reads_back_and_replaces_only_its_affiliates(spark, path
     write_product(build_product(tables, second), path, second)
     written = read_product(spark, path)
     assert written.columns == [name for name, _ in OUTPUT]
-    assert spark.read.parquet(path).columns[: len(OUTPUT)] == written.columns
+    assert spark.read.parquet(f"{path}/data").columns[: len(OUTPUT)] == written.columns
     assert rows(written.groupBy("affiliate_code").count()) == counts
     refreshed = written.select("affiliate_code", F.month("last_data_refresh_timestamp")).distinct()
     assert rows(refreshed) == [("DE", 2), ("FR", 1), ("IT", 1), ("JP", 1), ("UKI", 1)]
@@ -169,6 +174,78 @@ def test_a_run_replaces_its_scope_and_no_more(spark, tmp_path):
     assert stored() == [("DE", "A", "3"), ("FR", "C", "4"), ("FR", "D", "5")]
 
 
+def _product_of(spark, *keys):
+    names = [name for name, _ in OUTPUT]
+    base = spark.createDataFrame(keys, "affiliate_code string, therapy_area_TA string, product_name string")
+    return base.select(*[F.col(c) if c in base.columns else F.lit(None).cast("string").alias(c) for c in names])
+
+
+def _stored(spark, path):
+    found = read_product(spark, path).select("affiliate_code", "therapy_area_TA", "product_name")
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+def test_a_run_killed_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "product")
+    with pytest.raises(FileNotFoundError):
+        read_product(spark, path)
+    write_product(_product_of(spark, ("DE", "A", "1"), ("FR", "A", "1")), path, JobParams())
+    with monkeypatch.context() as killed:
+        killed.setattr(sink, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write_product(_product_of(spark, ("DE", "A", "2")), path, JobParams())
+    assert _stored(spark, path) == [("DE", "A", "1"), ("FR", "A", "1")]
+    assert len(clean_product(spark, path)) == 1
+    write_product(_product_of(spark, ("DE", "A", "3"), ("DE", "%2F a=b/c", "3"), ("DE", "007", "3")), path, JobParams("DE"))
+    expected = [("DE", "%2F a=b/c", "3"), ("DE", "007", "3"), ("DE", "A", "3"), ("FR", "A", "1")]
+    assert _stored(spark, path) == expected
+    assert clean_product(spark, path) == []
+    write_product(_product_of(spark), path, JobParams("DE"))
+    assert _stored(spark, path) == [("FR", "A", "1")]
+    assert len(clean_product(spark, path)) == 2  # the replaced run, and the folder of the one without rows
+    write_product(_product_of(spark), path, JobParams())
+    assert _stored(spark, path) == [] and len(clean_product(spark, path)) == 2
+
+
+def test_replaced_files_are_not_opened(spark, tmp_path):
+    path = str(tmp_path / "product")
+    write_product(_product_of(spark, ("DE", "A", "1"), ("FR", "A", "1")), path, JobParams())
+    write_product(_product_of(spark, ("DE", "A", "2")), path, JobParams("DE"))
+    read = read_product(spark, path).select("product_name").withColumn("file", F.input_file_name()).collect()
+    assert len({r["file"] for r in read}) == 2
+    (scan,) = [text for node, _, text in nodes(read_product(spark, path)) if node.startswith("Scan parquet")]
+    assert "PartitionFilters: []" not in scan
+
+
+def test_sums_of_flags_need_no_window(spark, sf_dir):
+    plan = [name for name, _, _ in nodes(catalog.REGISTRY["q_metric_rollup"](spark, sf_dir))]
+    assert "Window" not in plan and "Sort" not in [n for n in plan if n == "SortAggregate"]
+
+
+def test_flags_meet_the_calendar_once(spark, sf_dir):
+    df = catalog.REGISTRY["q_first_flags"](spark, sf_dir)
+    joins = [text for name, _, text in nodes(df) if name in ("BroadcastHashJoin", "BroadcastNestedLoopJoin") and "strt" in text + "__low"]
+    assert sum("__low" in text.split("\n")[0] for text in joins) == 1
+
+
+def test_only_measured_sides_and_single_rows_are_broadcast(spark, no_automatic_broadcast, monkeypatch):
+    monkeypatch.setattr(skew, "GRID_ROWS", 0)
+    nothing = Limits(broadcast_bytes=0)
+    calls = spark.createDataFrame([(str(i % 9), "A", "DE", datetime(2024, 1, i % 28 + 1)) for i in range(60)],
+                                  "call_id string, ta string, afl_id string, call_dt timestamp_ntz")
+    hot = pin(spark.createDataFrame([("1",), ("2",), (None,)], "call_id string"))
+    cold, chosen = split_hot(calls, "call_id", hot, nothing)
+    assert cold.count() == 60 - chosen.count() and chosen.select("call_id").distinct().count() == 2
+    for part in (cold, chosen):
+        assert not [name for name, _, _ in nodes(part) if name == "BroadcastExchange"]
+    cycles = spark.createDataFrame([("DE", "A", "CC", datetime(2023, 1, 1), datetime(2025, 1, 1))],
+                                   "afl_id string, ta string, spl_cyc string, strt_dt timestamp_ntz, end_dt timestamp_ntz")
+    found = attribute(calls, cycles, limits=nothing)
+    assert found.where("spl_cyc = 'CC'").count() == 60
+    one_row = [columns for name, columns, _ in nodes(found) if name == "BroadcastExchange"]
+    assert all(columns == ["__first", "__last"] for columns in one_row)
+
+
 def test_tables_from_the_catalog(spark, paths):
     for name, path in paths.items():
         view = f"eu_{name}" if name in ("call_detail", "cycle_plan") else name
