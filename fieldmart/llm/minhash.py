@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-import zlib
+import secrets
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql.types import LongType
 
 from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, share_smallest, text_of
 from fieldmart.llm.components import connected
+from fieldmart.llm.prefixes import WordHashes, shingle_set, tokens_of
 
 SHINGLE_WORDS = 5
 SIMILAR = 75  # per cent of the union
@@ -24,10 +26,7 @@ BLOCK = 2048  # members of a list in one block
 WIDE_SKETCH = 256  # smallest shingle hashes that blocks compare, their highest 32 bits
 BROADCAST_ROWS = 500_000
 
-SKETCHED = "part int, doc_id long, digest binary, n_shingles long, set long, sketch array<long>"
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+SKETCHED = "row long, part int, doc_id long, digest binary, n_shingles long, name binary, sketch array<long>"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _powers: dict[int, np.ndarray] = {}
@@ -48,44 +47,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """Hashes of the words between white space, with A-Z in lower case."""
-    data = np.frombuffer(text.encode().lower(), dtype=np.uint8)
-    inside = ~_SPACE[data]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[data] * _power(_BASE, len(data)))])
-    return _mix((sums[ends] - sums[starts]) * _power(_BACK, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
-
-
-def shingles(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
+def shingles(text: str, words: int = SHINGLE_WORDS, hashes: WordHashes | None = None) -> np.ndarray:
     """The sorted distinct 63-bit hashes of a text's shingles; of fewer words, the whole as one."""
-    found = word_hashes(text)
-    if not len(found):
-        return found
-    size = min(words, len(found))
-    run = np.full(len(found) - size + 1, size, dtype=np.uint64)
-    for i in range(size):
-        run = run * _BASE + found[i : len(found) - size + 1 + i]
-    return np.unique(_mix(run) >> np.uint64(1))
+    return tokens_of(text, words, WordHashes(b"") if hashes is None else hashes).view(np.uint64)
 
 
-def _fingerprint(found: np.ndarray) -> int:
-    """One number for a whole set: two checksums of its hashes."""
-    data = found.tobytes()
-    mixed = _mix(np.array([zlib.crc32(data) << 32 | zlib.adler32(data)], dtype=np.uint64) + found.sum(dtype=np.uint64))
-    return int((mixed ^ np.bitwise_xor.reduce(_mix(found)))[0] >> np.uint64(1))
+def _name(found: np.ndarray, key: bytes) -> bytes | None:
+    """128 keyed bits that stand for a whole set; none for a text without words."""
+    return blake2b(found.tobytes(), digest_size=16, key=key).digest() if len(found) else None
 
 
-def _sketches(size: int, words: int):
+def _sketches(size: int, words: int, key: bytes):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, row = WordHashes(key), 0
         for rows in batches:
             for start in range(0, rows.num_rows, 512):
                 out = []
                 for part, doc_id, digest, text in lists(rows.slice(start, 512), "part", "doc_id", "digest", "text"):
-                    found = shingles(text, words)
-                    key = _fingerprint(found) if len(found) else None
-                    out.append((part, doc_id, digest, len(found), key, found[:size].astype(np.int64)))
+                    found = shingles(text, words, hashes)
+                    sketch = found[:size].astype(np.int64)
+                    out.append(((part << 40) + row, part, doc_id, digest, len(found), _name(found, key), sketch))
+                    row += 1
                 yield batch_of_rows(SKETCHED, out)
 
     return sketch
@@ -124,15 +106,15 @@ def _promising(size: int, similar: int):
 
 def _verified(words: int, similar: int):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, left = None, None
+        last, left = None, set()
         for rows in batches:
             for start in range(0, rows.num_rows, 256):
                 some, out = rows.slice(start, 256), []
                 for a, b, text_a, text_b in lists(some, "a", "b", "text_a", "text_b"):
                     if a != last:
-                        last, left = a, shingles(text_a, words)
-                    right = shingles(text_b, words)
-                    common = len(np.intersect1d(left, right, assume_unique=True))
+                        last, left = a, shingle_set(text_a, words)
+                    right = shingle_set(text_b, words)
+                    common = len(left & right)
                     if 100 * common >= similar * (len(left) + len(right) - common):
                         out.append((a, b))
                 yield batch_of_rows("a long, b long", out)
@@ -140,11 +122,12 @@ def _verified(words: int, similar: int):
     return check
 
 
-def _of_sets(words: int):
+def _of_sets(words: int, key: bytes):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes(key)
         for rows in batches:
-            own = [_fingerprint(shingles(text, words)) == key for key, text in lists(rows, "set", "text")]
-            yield rows.filter(pa.array(own, type=pa.bool_()))
+            own = [_name(shingles(text, words, hashes), key) == name for name, text in lists(rows, "name", "text")]
+            yield rows.select(["set", "text"]).filter(pa.array(own, type=pa.bool_()))
 
     return keep
 
@@ -200,10 +183,11 @@ def _pairs(members: DataFrame, pivots: int, similar: int) -> DataFrame:
     return met.select(F.least("set", "pivot").alias("a"), F.greatest("set", "pivot").alias("b")).distinct()
 
 
-def _wide_sketches(words: int):
+def _wide_sketches(words: int, key: bytes):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes(key)
         for rows in batches:
-            found = [shingles(text, words)[:WIDE_SKETCH] for (text,) in lists(rows, "text")]
+            found = [shingles(text, words, hashes)[:WIDE_SKETCH] for (text,) in lists(rows, "text")]
             yield batch("set long, wide binary", [rows.column("set"), [(x >> np.uint64(31)).astype("<u4").tobytes() for x in found]])
 
     return sketch
@@ -296,26 +280,33 @@ def near_duplicates(
 def _components(
     docs: DataFrame, scratch: Scratch, words: int, similar: int, sketch_size: int, digest: Column | None = None
 ) -> DataFrame:
-    """(part, doc_id, digest, n_shingles, set, root, component_id) of every row; without words the last three are null."""
+    """(part, doc_id, digest, n_shingles, set, root, component_id) of every row; without words the last three are null.
+
+    Hashes are keyed anew in each run, so that nobody can write texts whose hashes meet.
+    """
+    key = secrets.token_bytes(16)
     digest = F.lit(None).cast("binary") if digest is None else digest
     own = docs.select(docs["doc_id"].cast(LongType()).alias("doc_id"), text_of(docs).alias("text"), digest.alias("digest"))
     parted = own.withColumn("part", F.spark_partition_id())
-    rows = scratch.pin(parted.mapInArrow(_sketches(sketch_size, words), SKETCHED), "sketches")
+    rows = scratch.pin(parted.mapInArrow(_sketches(sketch_size, words, key), SKETCHED), "sketches")
 
-    some = rows.where("set IS NOT NULL")
-    leaves = some.groupBy("part", "set").agg(F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"))
-    sets = scratch.pin(leaves.groupBy("set").agg(F.min("least").alias("least"), F.min("n").alias("n")), "sets")
-    first = some.groupBy("part", "set").agg(F.min("sketch").alias("sketch"))  # all are equal
-    sketches = first.groupBy("set").agg(F.min("sketch").alias("sketch")).join(sets.select("set", "n"), "set")
+    some = rows.where("name IS NOT NULL")
+    leaves = some.groupBy("part", "name").agg(
+        F.min("row").alias("row"), F.min("doc_id").alias("least"), F.min("n_shingles").alias("n")
+    )
+    sets = leaves.groupBy("name").agg(F.min("row").alias("set"), F.min("least").alias("least"), F.min("n").alias("n"))
+    sets = scratch.pin(sets, "sets")
+    first = some.groupBy("part", "name").agg(F.min("sketch").alias("sketch"))  # all are equal
+    sketches = first.groupBy("name").agg(F.min("sketch").alias("sketch")).join(sets.select("name", "set", "n"), "name").drop("name")
     sketches = scratch.pin(sketches, "set-sketches")
 
     inverted = _inverted_lists(sketches, scratch, least_share(sketch_size, similar))
     meeting = inverted.groupBy("value").agg(F.count("*").alias("length")).where("length > 1").select("value")
     inverted = scratch.pin(inverted.join(meeting, "value"), "meeting")
     involved = scratch.pin(inverted.select("set").distinct(), "involved")
-    named = scratch.pin(sets.join(involved, "set").select("set", F.col("least").alias("own_id")), "named")
-    texts = own.join(_small(named), F.col("doc_id").eqNullSafe(F.col("own_id"))).select("set", "text")
-    texts = scratch.pin(texts.mapInArrow(_of_sets(words), "set long, text string").dropDuplicates(["set"]), "texts")
+    named = scratch.pin(sets.join(involved, "set").select("set", "name", F.col("least").alias("own_id")), "named")
+    texts = own.join(_small(named), F.col("doc_id").eqNullSafe(F.col("own_id"))).select("set", "name", "text")
+    texts = scratch.pin(texts.mapInArrow(_of_sets(words, key), "set long, text string").dropDuplicates(["set"]), "texts")
     own_sketches = scratch.pin(sketches.join(involved, "set").select("set", "sketch"), "own-sketches")
 
     roots, tested, links = None, None, None
@@ -324,7 +315,7 @@ def _components(
         if members.isEmpty():
             break
         if pivots is None:
-            wide = texts.mapInArrow(_wide_sketches(words), "set long, wide binary")
+            wide = texts.mapInArrow(_wide_sketches(words, key), "set long, wide binary")
             promising = _block_pairs(members, wide, similar)
         else:
             pairs = _pairs(members, pivots, similar)
@@ -342,14 +333,14 @@ def _components(
         links = found if links is None else links.union(found)
         roots = scratch.pin(connected(links, scratch, f"roots-{turn}"), f"roots-{turn}")
 
-    tops = sets.select("set", F.col("set").alias("root"), "least")
+    tops = sets.select("set", "name", F.col("set").alias("root"), "least")
     if roots is not None:
         known = roots.select(F.col("vertex").alias("set"), F.col("root").alias("known"))
         tops = tops.join(known, "set", "left").withColumn("root", F.coalesce("known", "root")).drop("known")
     smallest = tops.groupBy("root").agg(F.min("least").alias("component_id"))
-    tops = tops.join(smallest, "root").select("set", "root", "component_id")
-    leaves = leaves.select("part", "set").join(tops, "set")
-    return rows.drop("sketch").join(leaves, ["part", "set"], "left")
+    tops = tops.join(smallest, "root").select("name", "set", "root", "component_id")
+    leaves = leaves.select("part", "name").join(tops, "name")
+    return rows.drop("sketch", "row").join(leaves, ["part", "name"], "left").drop("name")
 
 
 def keep_one_of_each(

@@ -42,7 +42,7 @@ def shingle_set(text: str, words: int = SHINGLE_WORDS) -> set[tuple[bytes, ...]]
     return set(zip(*[found[i:] for i in range(size)], strict=False)) if size else set()
 
 
-class _WordHashes(dict):
+class WordHashes(dict):
     """Keyed hashes of words. With a key drawn for each run nobody can make texts whose hashes meet."""
 
     def __init__(self, key: bytes):
@@ -55,7 +55,7 @@ class _WordHashes(dict):
         return found
 
 
-def tokens_of(text: str, words: int, hashes: _WordHashes) -> np.ndarray:
+def tokens_of(text: str, words: int, hashes: WordHashes) -> np.ndarray:
     """The sorted distinct 63-bit hashes of a text's shingles."""
     found = words_of(text)
     size = min(words, len(found))
@@ -86,7 +86,7 @@ def prefix_length(n: int, similar: int, matches: int) -> int:
 
 def _signed(words: int, similar: int, key: bytes):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, row = _WordHashes(key), 0
+        hashes, row = WordHashes(key), 0
         for rows in batches:
             for start in range(0, rows.num_rows, 512):
                 out = []

@@ -1,23 +1,26 @@
-"""Removes long repeated byte strings: bounded suffix sorting with a difference cover."""
+"""Removes long repeated byte strings: names of strings at difference-cover positions, compared by sorting."""
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 from functools import cache
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, read_file, text_of, write_file
-from fieldmart.llm.minhash import _BACK, _BASE, _VALUE, _mix, _power
+from fieldmart.llm.minhash import _BACK, _BASE, _mix, _power
 
 LENGTH = 400  # bytes of a repeated string
+GRAM = 8  # bytes that are hashed together
 PART_BYTES = 8 << 20  # text that one task holds at a time
 BUCKET_NAMES = 2_000_000  # names that one task sorts
 BROADCAST_ROWS = 500_000
@@ -75,13 +78,21 @@ class Cover:
         return np.flatnonzero(np.cumsum(edges[: last + 1]) > 0)
 
 
-def sums_of(data: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[data] * _power(_BASE, len(data)))])
+def sums_of(data: np.ndarray, key: int, gram: int = GRAM) -> np.ndarray:
+    """Running sums of a polynomial whose coefficients are keyed hashes of the GRAM bytes from each position on.
+
+    With bytes themselves as coefficients, patterns that cancel modulo 2**64 can be written down.
+    """
+    if len(data) < gram:
+        return np.zeros(1, np.uint64)
+    grams = np.ascontiguousarray(sliding_window_view(data, GRAM)).view(np.uint64).ravel() if gram == GRAM else data.astype(np.uint64)
+    values = _mix(grams ^ np.uint64(key))
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _power(_BASE, len(values)))])
 
 
-def names_of(sums: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+def names_of(sums: np.ndarray, at: np.ndarray, length: int, gram: int = GRAM) -> np.ndarray:
     """Names of the strings of this length at these positions: equal strings have equal names."""
-    return _mix((sums[at + length] - sums[at]) * _power(_BACK, len(sums))[at])
+    return _mix((sums[at + length - gram + 1] - sums[at]) * _power(_BACK, len(sums))[at])
 
 
 def _documents(row: dict) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -117,14 +128,15 @@ def _answers(folder: str, part: int) -> np.ndarray:
 
 
 class Level:
-    """One level of the recursion: which strings of a part are named, and what the level before says of them.
+    """One of two passes: which strings of a part are named, and what the pass before says of them.
 
     `sampled` names the windows at sampled positions. `whole` names the strings of full length
     at the positions that a sampled window with a repeated name leaves open.
     """
 
-    def __init__(self, cover: Cover, kind: str, folder: str = ""):
-        self.cover, self.kind, self.folder = cover, kind, folder
+    def __init__(self, cover: Cover, kind: str, key: int, folder: str = ""):
+        self.cover, self.kind, self.key, self.folder = cover, kind, key, folder
+        self.gram = GRAM if cover.window >= GRAM else 1
 
     def positions(self, row: dict) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """Of each document: id, wanted, bytes, positions to name, names."""
@@ -132,13 +144,13 @@ class Level:
         if self.kind == "sampled":
             for doc_id, own, data in _documents(row):
                 at = cover.sampled(len(data))
-                yield doc_id, own, data, at, names_of(sums_of(data), at, cover.window)
+                yield doc_id, own, data, at, names_of(sums_of(data, self.key, self.gram), at, cover.window, self.gram)
             return
-        docs = list(Level(cover, "sampled").positions(row))
+        docs = list(Level(cover, "sampled", self.key).positions(row))
         repeated = self.repeated([names for *_, names in docs], row["part"])
         for (doc_id, own, data, at, _), again in zip(docs, repeated, strict=True):
             at = cover.before(at[again], len(data))
-            yield doc_id, own, data, at, names_of(sums_of(data), at, cover.length) if len(at) else np.zeros(0, np.uint64)
+            yield doc_id, own, data, at, names_of(sums_of(data, self.key, self.gram), at, cover.length, self.gram) if len(at) else np.zeros(0, np.uint64)
 
     def repeated(self, names: list[np.ndarray], part: int) -> list[np.ndarray]:
         """For the names of each document of a part, whether they occur elsewhere, as the exchange found."""
@@ -259,7 +271,7 @@ def _cut(level: Level, folder: str):
     """The repeated strings of full length, and the documents without their bytes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answered = Level(level.cover, "whole", folder)
+        answered = Level(level.cover, "whole", level.key, folder)
         for rows in batches:
             for i in range(rows.num_rows):
                 row = {k: v[0] for k, v in rows.slice(i, 1).to_pydict().items()}
@@ -295,19 +307,19 @@ def remove_repeats(
 
     A byte goes if a string of `length` bytes that covers it starts anywhere else too.
 
-    Suffixes are sorted only as deep as `length` bytes. Positions whose number within the document is
-    in a difference cover modulo v are sampled: in any two equal strings, two sampled windows of
-    length - v + 1 bytes have the same place among the first v. Level one names and sorts the
-    sampled windows; a unique name ends there, which is most of the text. The recursion goes on
-    with what repeated names leave: all positions, sampled or not, up to v - 1 bytes before such
-    a window get the name of their whole string, names are sorted, and neighbours with equal
-    names are repeats.
+    Positions whose number within the document is in a difference cover modulo v are sampled: in any
+    two equal strings, two sampled windows of length - v + 1 bytes have the same place among the first v.
+    The first pass names the sampled windows and sorts the names; a unique name ends there, which is most of
+    the text. The second does the same with whole strings, at all positions up to v - 1 bytes before a
+    repeated window. Neighbours with equal names are repeats.
 
     Documents lie in parts of about `part_bytes`. A part sends each distinct name once, so a
     string that a third of all documents share is one row per part; buckets are as many as keep
     each near `bucket_names`; answers return as one bit per name, in a file per part. Equal texts
     are found by digest before: one of them stays as a partner of others. Names are
-    64-bit hashes of the strings (of sampled windows only 40 bits and the bucket travel, as they just choose candidates).
+    64-bit hashes of the strings, under a key that each run draws (of sampled windows only 40 bits and the bucket
+    travel, as they just choose candidates). Bytes are not compared: of n strings that the second pass names, n * n / 2**65
+    pairs meet by chance, one in 10,000 runs over 60 million of them.
 
     A null text is empty. Null ids stay null, repeated rows are copies of each other, other columns
     are ignored, an empty table gives an empty result.
@@ -340,9 +352,10 @@ def remove_repeats(
     cover = Cover(length)
     bytes_held = parts.agg(F.sum(F.octet_length("bytes").cast("long"))).first()[0] or 0
     folders = f"{scratch.path}/sampled", f"{scratch.path}/whole"
-    sampled = Level(cover, "sampled")
+    key = secrets.randbits(64)  # new in each run
+    sampled = Level(cover, "sampled", key)
     _exchange(parts, sampled, bytes_held * len(cover.marks) // cover.period, folders[0], bucket_names, scratch)
-    whole = Level(cover, "whole", folders[0])
+    whole = Level(cover, "whole", key, folders[0])
     names = parts.mapInArrow(_count(whole), "names long").agg(F.sum("names")).first()[0] or 0
     _exchange(parts, whole, names, folders[1], bucket_names, scratch)
     return plain.union(parts.mapInArrow(_cut(whole, folders[1]), RESULT))

@@ -19,3 +19,9 @@ def hit_words(words, windows):
             if tuple(words[i : i + size]) in windows:
                 hit.update(range(i, i + size))
     return hit
+
+
+def thue_morse(length):
+    """Two different texts that every polynomial of their bytes modulo 2**64 maps to one value, if its base is odd."""
+    signs = [bin(i).count("1") % 2 for i in range(length)]
+    return ["".join("ab"[s ^ flip] for s in signs) for flip in (0, 1)]

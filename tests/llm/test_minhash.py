@@ -9,6 +9,8 @@ from fieldmart.llm import minhash
 from fieldmart.llm.components import connected
 from fieldmart.llm.minhash import estimate, keep_one_of_each, near_duplicates, shingles
 
+from .helpers import thue_morse
+
 
 def shingle_set(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
@@ -141,6 +143,13 @@ def test_one_row_of_each_stays(documents, scratch):
     assert sum(kept.values()) == len(fixed) + 4 + len(groups) and kept[(21, " ".join(several[:58]))] == 0
 
 
+def test_texts_whose_polynomial_hashes_meet(documents, scratch):
+    one, other = thue_morse(4096)
+    rows = [(1, one), (2, other), (3, f"{one} b c d e f"), (4, f"{other} b c d e f"), (5, f"{one} b c d e f")]
+    found = near_duplicates(documents(rows), scratch)
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 3)]
+
+
 def test_shingles_and_estimate():
     for text in ("", "a", "a b c d e f g a b c d e", "ü " * 9, "x\ty\nz\rp\x0bq\x0cr", "a\x1cb   c"):
         assert len(shingles(text)) == len(shingle_set(text))

@@ -5,7 +5,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from fieldmart.llm.suffixes import Cover, difference_cover, remove_repeats
+from fieldmart.llm.suffixes import Cover, difference_cover, names_of, remove_repeats, sums_of
+
+from .helpers import thue_morse
 
 
 def brute(rows, length):
@@ -76,3 +78,15 @@ def test_equal_strings_share_a_sampled_place():
         places = [set((cover.sampled(8000) - k).tolist()) for k in (i, j)]
         assert any(0 <= d < cover.period for d in places[0] & places[1])
         assert cover.window + cover.period - 1 == 400
+
+
+def test_names_of_patterns_that_cancel_in_polynomials_differ():
+    start, names = np.zeros(1, dtype=int), set()
+    for length in (256, 2048):
+        for text in thue_morse(length):
+            data = np.frombuffer(text.encode(), np.uint8)
+            names |= {int(names_of(sums_of(data, key), start, length)[0]) for key in (1, 2**63 + 5)}
+    assert len(names) == 8
+    text = np.frombuffer(b"the same string twice: the same string twice", np.uint8)
+    first, again = names_of(sums_of(text, 9), np.array([0, 23]), 21)
+    assert first == again
