@@ -24,9 +24,11 @@ SMALL_LIST = 8  # members of a list that are all compared in the first round
 PIVOTS = (1, 8)  # of longer lists, round by round; then all, in blocks
 BLOCK = 2048  # members of a list in one block
 BROADCAST_ROWS = 500_000  # of one number
+SLACK = 2  # per cent, for what 32 bits can err
+WHOLE = 256  # sets up to this size travel whole, as 32 bits of each token, to where blocks are compared
 KNOWN_WORDS = 1 << 19  # words whose hashes a task remembers
 
-SIGNED = "row long, part int, doc_id long, digest binary, n long, ranked int, tokens array<long>, text string"
+SIGNED = "row long, part int, doc_id long, digest binary, n long, ranked int, tokens array<long>, whole binary, text string"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,6 +71,11 @@ def tokens_of(text: str, words: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(mixed >> np.uint64(1)).astype(np.int64)
 
 
+def short_form(tokens: np.ndarray) -> bytes:
+    """The highest 32 bits of each token, distinct ones."""
+    return np.unique((tokens >> 31).astype("<u4")).tobytes()
+
+
 def least_common(n, m, similar: int):
     """So many tokens two sets of n and m must share to be similar."""
     return -(-similar * (n + m) // (100 + similar))
@@ -95,7 +102,8 @@ def _signed(words: int, similar: int, key: bytes):
                     n, ranked = len(found), int(np.searchsorted(found, RANKED))
                     offered = max(ranked, prefix_length(n, similar, min(MATCHES, own_common(n, similar))))
                     digest = blake2b(found.tobytes(), digest_size=16, key=key).digest() if n else None
-                    out.append(((part << 40) + row, part, doc_id, digest, n, ranked, found[:offered], text))
+                    whole = short_form(found) if n <= WHOLE else None
+                    out.append(((part << 40) + row, part, doc_id, digest, n, ranked, found[:offered], whole, text))
                     row += 1
                 yield batch_of_rows(SIGNED, out)
 
@@ -200,6 +208,7 @@ def _compare_blocks(similar: int):
         table = table.combine_chunks()
         block, set_, n, root, rest = (table.column(c).to_numpy() for c in ("block", "set", "n", "root", "rest"))
         prefixes, listed = ([np.asarray(x, dtype=np.int64) for x in table.column(c).to_pylist()] for c in ("prefix", "listed"))
+        wholes = [None if x is None else np.frombuffer(x, "<u4") for x in table.column("whole").to_pylist()]
         names, codes = np.unique(np.concatenate(prefixes), return_inverse=True)
         width, this, out = max(map(len, prefixes)), int(np.searchsorted(names, token)), []
         held, smaller = np.full((len(n), width), len(names)), np.zeros((len(n), len(names) + 1), dtype=bool)
@@ -221,24 +230,31 @@ def _compare_blocks(similar: int):
             mark[-1] = False
             asked = least_common(n[others], n[i], similar) - np.maximum(rest[others], rest[i])
             enough = mark[held[others]].sum(axis=1) >= asked
-            out += [(min(set_[i], x), max(set_[i], x)) for x in set_[others[enough]]]
+            for j in others[enough]:
+                if wholes[i] is not None and wholes[j] is not None:
+                    # Nearly the answer: only the bits left out can err, which the words decide later.
+                    common = len(np.intersect1d(wholes[i], wholes[j], assume_unique=True))
+                    if 100 * common < (similar - SLACK) * (len(wholes[i]) + len(wholes[j]) - common):
+                        continue
+                out.append((min(set_[i], set_[j]), max(set_[i], set_[j])))
         return pa.Table.from_batches([batch_of_rows("a long, b long", out)])
 
     return compare
 
 
-def _block_pairs(members: DataFrame, prefixes: DataFrame, similar: int) -> DataFrame:
+def _block_pairs(members: DataFrame, prefixes: DataFrame, own_rows: DataFrame, similar: int) -> DataFrame:
     """All pairs across components of the lists that are left, in tasks of two blocks of a list each.
 
     A member travels with its prefix once per block of its list, not once per pair.
     """
     listed = members.groupBy("set").agg(F.collect_list("token").alias("listed"))
-    rows = members.join(listed, "set").join(prefixes.select("set", "rest", "prefix"), "set")
+    listed = listed.join(prefixes.select("set", "rest", "prefix"), "set").join(own_rows.select("set", "whole"), "set")
+    rows = members.join(listed, "set")
     blocks = F.ceil(F.col("length") / BLOCK).cast("long")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
-    rows = rows.select("token", "p", "q", "block", "set", "n", "root", "rest", "prefix", "listed")
+    rows = rows.select("token", "p", "q", "block", "set", "n", "root", "rest", "prefix", "listed", "whole")
     return rows.groupBy("token", "p", "q").applyInArrow(_compare_blocks(similar), "a long, b long").distinct()
 
 
@@ -293,7 +309,7 @@ def similar_documents(
         if members.isEmpty():
             break
         if pivots is None:
-            found = _block_pairs(members, prefixes, similar)
+            found = _block_pairs(members, prefixes, own_rows, similar)
         else:
             found = _pairs(members, pivots, similar)
             if tested is not None:
