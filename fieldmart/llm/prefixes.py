@@ -28,7 +28,7 @@ SLACK = 2  # per cent, for what 32 bits can err
 WHOLE = 256  # sets up to this size travel whole, as 32 bits of each token, to where blocks are compared
 KNOWN_WORDS = 1 << 19  # words whose hashes a task remembers
 
-SIGNED = "row long, part int, doc_id long, digest binary, n long, ranked int, tokens array<long>, whole binary, text string"
+SIGNED = "row long, part int, doc_id long, digest binary, n long, ranked int, tokens array<long>, text string"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,14 +102,23 @@ def _signed(words: int, similar: int, key: bytes):
                     n, ranked = len(found), int(np.searchsorted(found, RANKED))
                     offered = max(ranked, prefix_length(n, similar, min(MATCHES, own_common(n, similar))))
                     digest = blake2b(found.tobytes(), digest_size=16, key=key).digest() if n else None
-                    whole = short_form(found) if n <= WHOLE else None
-                    out.append(((part << 40) + row, part, doc_id, digest, n, ranked, found[:offered], whole, text))
+                    out.append(((part << 40) + row, part, doc_id, digest, n, ranked, found[:offered], text))
                     row += 1
                 yield batch_of_rows(SIGNED, out)
 
     return sign
 
 
+def _short_forms(words: int, key: bytes):
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes(key)
+        for rows in batches:
+            found = [short_form(tokens_of(text, words, hashes)) for (text,) in lists(rows, "text")]
+            yield batch("set long, whole binary", [rows.column("set"), found])
+
+    return shorten
+
+
 PREFIX = "set long, n long, rest long, first int, prefix array<long>"
 
 
@@ -242,13 +251,14 @@ def _compare_blocks(similar: int):
     return compare
 
 
-def _block_pairs(members: DataFrame, prefixes: DataFrame, own_rows: DataFrame, similar: int) -> DataFrame:
+def _block_pairs(members: DataFrame, prefixes: DataFrame, wholes: DataFrame, similar: int) -> DataFrame:
     """All pairs across components of the lists that are left, in tasks of two blocks of a list each.
 
-    A member travels with its prefix once per block of its list, not once per pair.
+    A member travels with its prefix, and its short form if `wholes` has one, once per block of its list,
+    not once per pair.
     """
     listed = members.groupBy("set").agg(F.collect_list("token").alias("listed"))
-    listed = listed.join(prefixes.select("set", "rest", "prefix"), "set").join(own_rows.select("set", "whole"), "set")
+    listed = listed.join(prefixes.select("set", "rest", "prefix"), "set").join(wholes, "set", "left")
     rows = members.join(listed, "set")
     blocks = F.ceil(F.col("length") / BLOCK).cast("long")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")))
@@ -279,7 +289,8 @@ def similar_documents(
     rows are in one component. An empty table gives an empty result. Other columns are ignored.
     """
     own = docs.select(F.spark_partition_id().alias("part"), docs["doc_id"].cast(LongType()).alias("doc_id"), text_of(docs).alias("text"))
-    rows = scratch.pin(own.mapInArrow(_signed(words, similar, secrets.token_bytes(16)), SIGNED), "signed")
+    key = secrets.token_bytes(16)
+    rows = scratch.pin(own.mapInArrow(_signed(words, similar, key), SIGNED), "signed")
     some = rows.where("digest IS NOT NULL")
     leaves = some.groupBy("part", "digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     sets = leaves.groupBy("digest").agg(F.min("row").alias("set"), F.min("least").alias("least"))
@@ -309,7 +320,9 @@ def similar_documents(
         if members.isEmpty():
             break
         if pivots is None:
-            found = _block_pairs(members, prefixes, own_rows, similar)
+            short = members.where(F.col("n") <= WHOLE).select("set").distinct()
+            wholes = texts.join(short, "set").mapInArrow(_short_forms(words, key), "set long, whole binary")
+            found = _block_pairs(members, prefixes, wholes, similar)
         else:
             found = _pairs(members, pivots, similar)
             if tested is not None:
