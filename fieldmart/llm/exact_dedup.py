@@ -99,8 +99,9 @@ def exact_dedup(
     keeps all its rows. Repeated rows with equal ids share one fate. Other columns of any name are ignored.
     """
     text = normalise(text_of(docs, text_column))
-    sign = -1 if keep == "largest" else 1
-    null = F.lit(2**63 - 1)  # sorts behind all ids
+    # In reverse order ids are kept as their complements, which no id is too large for.
+    ordered, last = (F.bitwise_not, -(2**63)) if keep == "largest" else (F.col, 2**63 - 1)
+    null = F.lit(2**63 - 1)  # sorts behind all ids but `last`, which looks the same
     rows = scratch.pin(
         docs.select(
             F.spark_partition_id().alias("node"),
@@ -114,7 +115,7 @@ def exact_dedup(
     buckets = max(1, -(-rows.count() // bucket_rows))
     leading = F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("bucket", F.floor(leading * F.lit(buckets) / F.lit(2**32)).cast("int"))
-    keyed = rows.withColumn("keep", F.coalesce(F.lit(sign) * F.col("doc_id"), null))
+    keyed = rows.withColumn("keep", F.coalesce(ordered("doc_id"), null))
 
     runs = keyed.select("bucket", "node", *ENTRY.names[:4]).mapInPandas(_leaf_runs, RUN_SCHEMA)
     nodes = rows.agg(F.max("node")).first()[0] or 0
@@ -127,10 +128,15 @@ def exact_dedup(
     schema = "bucket int, digest binary, check long, length long, keep long, size long"
     winners = runs.mapInPandas(_unpacked, schema)
     identity = list(IDENTITY)
+    ends = rows.where(F.col("doc_id") == F.lit(last)).select(*identity).distinct()
+    if ends.isEmpty():
+        winners = winners.withColumn("last", F.lit(None).cast("long"))
+    else:
+        winners = winners.join(ends.withColumn("last", F.lit(last)), identity, "left")
     leaves = keyed.select("node", "bucket", *identity).distinct()
     found = leaves.join(winners, ["bucket", *identity])
     joined = keyed.drop("keep").join(found, ["node", "bucket", *identity])
-    keep_id = F.when(F.col("keep") != null, F.lit(sign) * F.col("keep"))
+    keep_id = F.when(F.col("keep") != null, ordered("keep")).otherwise(F.col("last"))
     return joined.select(
         "doc_id",
         keep_id.alias("keep_id"),

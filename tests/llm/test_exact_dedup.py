@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from fieldmart.llm.exact_dedup import ENTRY, exact_dedup, merge_runs
+from fieldmart.llm.exact_dedup import ENTRY, exact_dedup, keep_first, merge_runs
 
 
 def brute(rows, keep):
@@ -38,6 +38,23 @@ def test_null_ids_and_repeated_rows(documents, scratch):
     assert found(exact_dedup(documents(rows), scratch)) == brute(rows, "smallest")
 
 
+def test_smallest_and_largest_ids_there_are(documents, scratch):
+    low, high = -(2**63), 2**63 - 1
+    rows = [(low, "a"), (None, "a"), (low, "b"), (high, "b"), (high, "c"), (None, "c"), (None, "d"), (low, "e"), (0, "e")]
+    for keep in ("smallest", "largest"):
+        assert found(exact_dedup(documents(rows), scratch, keep=keep)) == brute(rows, keep)
+
+
+def test_one_row_of_each_text_stays(documents, clash, scratch):
+    assert keep_first(documents([]), scratch).collect() == []
+    rows = [(None, "a"), (5, "a"), (3, "a"), (3, "a"), (None, "b"), (None, "b"), (3, "c"), (7, None), (8, ""), (9, "d")]
+    kept = [(3, "a"), (None, "b"), (3, "c"), (7, None), (9, "d")]
+    for docs in (documents(rows), clash(rows, "node", "digest", "keep", "bucket", "last")):
+        stay = keep_first(docs, scratch)
+        assert stay.columns == docs.columns
+        assert found(stay.select("doc_id", "text")) == sorted(kept, key=repr)
+
+
 def test_empty_table_and_clashing_columns(documents, clash, scratch):
     assert exact_dedup(documents([]), scratch).collect() == []
     rows = [(1, "a"), (2, "a")]
