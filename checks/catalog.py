@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property, partial
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +18,9 @@ from fieldmart.operators.attribution import attribute, overlap_count, with_one_c
 from fieldmart.operators.skew import heavy_keys, split_hot
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product, final_projection
+from fieldmart.plans.runs import build_products
 from fieldmart.schema import CYCLE_COLUMNS, FLAG_GRAINS, OUTPUT, TIEBREAK, WALL_CLOCK
-from fieldmart.session import pin
+from fieldmart.session import pin, shared_folder
 from fieldmart.sources.tables import map_all, mapped, mapped_table, table_name
 
 AFFILIATE = "DE"
@@ -401,6 +402,19 @@ def q_data_product_late_flags(t):
     return found.drop("last_data_refresh_timestamp")
 
 
+@register
+def q_data_product_runs(t):
+    """Two affiliates in one job, which reads the calls once."""
+    tables = map_all({name: t.read(fixture) for name, fixture in fixtures.PRODUCT_TABLES.items()})
+    runs = {
+        "DE": JobParams(affiliate="DE", therapy_areas=THERAPY_AREAS, data_source=DATA_SOURCE),
+        "FR": JobParams(affiliate="FR", data_source=DATA_SOURCE, overlap_bounds="ordered"),
+    }
+    products = build_products(tables, runs, shared_folder(t.spark, "runs"))
+    named = [df.drop("last_data_refresh_timestamp").withColumn("run", F.lit(name)) for name, df in products.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
 @register
 def q_final_projection(t):
     calls = mapped_table("call_detail", t.read("fx_call_dtl_wide")).distinct()

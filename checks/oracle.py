@@ -170,6 +170,7 @@ def _product(bounds: tuple[str, str], late: bool = False, scope: str = "true", p
 SELECT {FINAL} FROM ({end}) done"""
 
 
+_french = "upper(afl_id) = 'FR'"
 _scope = f"upper(afl_id) = '{AFFILIATE}' AND upper(coalesce(ta, 'UNASSIGNED_TA')) IN ({AREAS})"
 
 STATEMENTS = {
@@ -239,6 +240,8 @@ STATEMENTS = {
         SELECT call_id, brd_nm, src_prod_nm, afl_id, pri_zip, pri_city, ims_cnt, ims FROM resolved""",
     "q_data_product": _product(("end_dt", "strt_dt")),
     "q_data_product_one_affiliate": _product(("end_dt", "strt_dt"), scope=_scope, plan_scope=_scope),
+    "q_data_product_runs": f"""SELECT *, 'DE' AS run FROM ({_product(("end_dt", "strt_dt"), scope=_scope, plan_scope=_scope)})
+        UNION ALL SELECT *, 'FR' AS run FROM ({_product(("strt_dt", "end_dt"), scope=_french, plan_scope=_french)})""",
     "q_data_product_late_flags": _product(("strt_dt", "end_dt"), late=True),
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import product
 
 from pyspark.sql import Column
@@ -45,12 +45,33 @@ def spellings(code: str, most: int = 64) -> list[str] | None:
     return made[-1]
 
 
+def beginnings(code: str, most: int = 16) -> list[str]:
+    """Texts such that every text whose upper case is `code` starts with one of them: as long as
+    `most` of them reach. None are known for codes beyond ASCII."""
+    by_upper = _single_characters_by_upper()
+    widest = max(map(len, by_upper))
+    found: list[str] = []
+    for end in range(1, len(code) + 1 if code.isascii() else 1):
+        here = set()
+        # The last character may stand for more letters than are left until `end`.
+        for start in range(max(0, end - widest), end):
+            for stop in range(end, min(len(code), start + widest) + 1):
+                here.update(a + b for a, b in product(spellings(code[:start]) or [], by_upper.get(code[start:stop], [])))
+        if len(here) > most:
+            break
+        found = sorted(here)
+    return found
+
+
 def equals_ignoring_case(column: Column, code: str) -> Column:
-    """upper(column) = code. Short codes also get the list of spellings, which is the same
-    condition in a form that prunes partitions and Parquet row groups."""
+    """upper(column) = code. The list of spellings, or of the beginnings of a long code's spellings, is
+    added: it follows from the condition, in a form that prunes Parquet row groups."""
     exact = F.upper(column) == F.lit(code)
     listed = spellings(code)
-    return column.isin(listed) & exact if listed else exact
+    if listed:
+        return column.isin(listed) & exact
+    begun = [column.startswith(text) for text in beginnings(code)]
+    return reduce(Column.__or__, begun) & exact if begun else exact
 
 
 def in_list_with_default(column: Column, values, default: str = UNASSIGNED_TA) -> Column:

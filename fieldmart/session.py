@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,6 +68,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder, not made yet, beside the checkpoints, which all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Compute once and keep in shared storage, so that lost executors cost no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)

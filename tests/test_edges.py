@@ -1,12 +1,14 @@
 """Hand-made rows for the cases where the product's text and its intent differ, or NULLs decide."""
 
 from datetime import date, datetime
+from itertools import product
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from fieldmart.functions import normalise as n
+from fieldmart.limits import Limits
 from fieldmart.operators import calendar as cal
 from fieldmart.operators import lookups as look
 from fieldmart.operators.attribution import attribute, overlap_count
@@ -66,8 +68,17 @@ def test_spellings_are_all_and_only_the_texts_with_that_upper_case(spark, code):
     assert {code, code.lower(), code.title()} <= set(listed)
 
 
-def test_long_codes_are_compared_only():
+def test_long_codes_have_beginnings_only():
     assert n.spellings("A" * 40) is None
+    assert set(n.beginnings("A" * 40)) == {"".join(c) for c in product("aA", repeat=4)}
+    assert n.beginnings("ÖSTERREICH") == [] and n.beginnings("") == []
+
+
+@pytest.mark.parametrize("code", ["GERMANY", "SSSSSSS", "KOSSOVA", "FFIFFLST"])
+def test_every_spelling_starts_with_a_beginning(code):
+    every, begun = n.spellings(code, 10**6), n.beginnings(code)
+    assert begun and all(text.upper() == code and text.startswith(tuple(begun)) for text in every)
+    assert all(any(text.startswith(b) for text in every) for b in begun)
 
 
 def test_affiliate_scope_ignores_case_but_later_rules_do_not(spark):
@@ -289,7 +300,27 @@ def test_waterfall(spark):
         (1, 1, "L1"), (10, None, None), (11, None, None), (2, 1, "L1"), (2, 1, None), (3, 2, "L1"), (4, 2, "L2"),
         (5, 2, None), (6, 0, None), (7, 2, "L1"), (7, 2, "L1"), (7, 2, None), (8, None, None), (9, None, None),
     ]
-    assert rows(waterfall(calls, mapping).select("id", "ims_cnt", "ims")) == sorted(expected, key=repr)
+    for limits in (Limits(), Limits(broadcast_bytes=0)):
+        found = waterfall(calls, mapping, limits=limits)
+        assert rows(found.select("id", "ims_cnt", "ims")) == sorted(expected, key=repr)
+
+
+def test_waterfall_tells_a_missing_city_from_an_empty_one(spark):
+    mapping = spark.createDataFrame([("1", "", "", "L1"), ("1", "A", "A", "L2"), (" 2", "A", "A", "L3"), ("2", "B", "B", "L3")], PLZ)
+    calls = spark.createDataFrame(
+        [(1, "1", None, "DE"), (2, "1", "", "DE"), (3, "1", ",x", "DE"), (4, "2", None, "DE"), (5, None, "A", "DE"), (6, "1", "A", None),
+         (7, "2", "C", "DE"), (7, "2", "C", "DE")],
+        ADDRESS,
+    )
+    expected = [(1, 2, None), (2, 2, "L1"), (3, 2, "L1"), *[(4, 1, "L3")] * 2, (5, None, None), (6, None, None), *[(7, 1, "L3")] * 4]
+    for limits in (Limits(), Limits(broadcast_bytes=0)):
+        for value, city in (("ims", "pri_city"), ("plz", "city")):
+            df = calls.withColumnRenamed("pri_city", city)
+            found = waterfall(df, mapping, city=city, value=value, limits=limits)
+            assert found.columns == [*df.columns, "ims_cnt", value]
+            assert rows(found.select("id", "ims_cnt", value)) == sorted(expected, key=repr)
+    assert waterfall(calls, mapping.where("false")).where("ims_cnt is null and ims is null").count() == 8
+    assert waterfall(calls.where("false"), mapping).count() == 0
 
 
 def test_table_names():

@@ -15,6 +15,7 @@ from fieldmart.operators import lookups as look
 from fieldmart.operators import skew
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product
+from fieldmart.plans.runs import build_products
 from fieldmart.operators.attribution import attribute
 from fieldmart.operators.skew import split_hot
 from fieldmart.plans import sink
@@ -75,7 +76,7 @@ def test_product_broadcasts_measured_lookups_and_sorts_no_result(spark, paths, n
     df = build_product(from_parquet(spark, paths), JobParams())
     names = [name for name, _, _ in nodes(df)]
     wide_hash_joins = [c for c, _ in named(df, "BroadcastHashJoin") if "rest" in c]
-    assert len(wide_hash_joins) == 9  # calendar, four lookups, four steps of the waterfall
+    assert len(wide_hash_joins) == 6  # calendar, four lookups, the resolved postal codes
     assert len([c for c, _ in named(df, "SortMergeJoin") if "rest" in c]) == 4  # three by call id, and what customers brought
     assert len([c for c, _ in named(df, "Window")]) == 3
     assert "CartesianProduct" not in names and "BroadcastNestedLoopJoin" not in names
@@ -111,6 +112,54 @@ def test_affiliate_filter_reaches_the_files(spark, paths):
     assert set(scan[0]) == {"afl_id", "call_id"}
 
 
+def test_long_codes_prune_row_groups(spark, tmp_path):
+    path = str(tmp_path / "calls")
+    codes = ["AUSTRIA", "Germany", "germany", "GERMANS", "ITALIAN", "straßen", None]
+    rows_of = spark.createDataFrame([(c, i) for c in codes for i in range(20)], "afl_id string, i int")
+    rows_of.repartitionByRange(len(codes), "afl_id").write.parquet(path)
+
+    def read(code):
+        df = spark.read.parquet(path).where(n.equals_ignoring_case(F.col("afl_id"), code))
+        found = {r[0] for r in df.collect()}
+        (scan,) = [node for node in _plan_nodes(df) if node.nodeName().startswith("Scan parquet")]
+        return found, scan.metrics().apply("numOutputRows").value()
+
+    assert n.spellings("GERMANY") is None
+    found, scanned = read("GERMANY")
+    assert found == {"Germany", "germany"} and scanned < 100
+    found, scanned = read("STRASSEN")
+    assert found == {"straßen"} and scanned <= 40
+
+
+def _plan_nodes(df):
+    todo = [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        yield node
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+
+
+def test_runs_scan_the_calls_once_and_equal_single_runs(spark, paths, tmp_path):
+    tables = from_parquet(spark, paths)
+    day = datetime(2024, 1, 1)
+    runs = {
+        "de": JobParams(affiliate="DE", therapy_areas=catalog.THERAPY_AREAS, refreshed_at=day),
+        "fr": JobParams(affiliate="FR", refreshed_at=day, overlap_bounds="ordered"),
+        "again": JobParams(affiliate="DE", refreshed_at=day, bucketed_by_call=True),
+        "none": JobParams(affiliate="XX", refreshed_at=day),
+    }
+    products = build_products(tables, runs, str(tmp_path / "runs"))
+    assert list(products) == list(runs)
+    for name, params in runs.items():
+        single = build_product(tables, replace(params, bucketed_by_call=False))
+        assert products[name].columns == single.columns
+        assert rows(products[name]) == rows(single)
+        scans = [text for node, columns, text in nodes(products[name]) if node.startswith("Scan parquet") and "call_dt" in columns]
+        assert scans and all(paths["call_detail"] not in text for text in scans)
+    assert products["none"].count() == 0 and products["fr"].count() > 0
+    assert build_products(tables, {}, str(tmp_path / "no runs")) == {}
+
+
 def test_snapshot_needs_no_join(spark, paths):
     df = look.latest_snapshot(spark.read.parquet(paths["country"]), "pt_batch_id")
     assert not [name for name, _, _ in nodes(df) if "Join" in name]
