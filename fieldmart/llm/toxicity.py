@@ -39,6 +39,8 @@ class Settings:
     document_bytes: int = 256 << 10  # of one document in the sample, at most; in slices from all over it
     slice_bytes: int = 512
     dictionary_bytes: tuple[int, int] = (112_640, 32_768)  # ordinary, toxic
+    ordinary_windows: int = 80_000  # in the training of the ordinary dictionary, at most
+    document_windows: int = 40  # of one ordinary document among them
     window_words: int = 1
     cut: float = 0.7  # of the score
     over: float = 5.0  # a window speaks for toxic text if it is in so many times more of the toxic documents
@@ -181,11 +183,11 @@ def fit(rows: list[tuple[str, int]], toxic_share: float, settings: Settings) ->
     rate = lambda y, w: (documents[y][w] + 0.5) / total[y]
     telling = [w for w, n in sorted(documents[1].items()) if n > 1 and rate(1, w) >= settings.over * rate(0, w)]
     toxic = [w for w in telling for _ in range(documents[1][w])] or [w for doc in first[1] for w in doc]
-    ordinary = [w for doc in first[0] for w in chance.sample(doc, min(len(doc), 40))]
+    ordinary = [w for doc in first[0] for w in chance.sample(doc, min(len(doc), settings.document_windows))]
     for samples in (toxic, ordinary):
         chance.shuffle(samples)
     sizes = settings.dictionary_bytes
-    dictionaries = train_dictionary(ordinary[:80_000], sizes[0]), train_dictionary(toxic, sizes[1])
+    dictionaries = train_dictionary(ordinary[: settings.ordinary_windows], sizes[0]), train_dictionary(toxic, sizes[1])
     lengths = Lengths(dictionaries, settings.remembered)
     cells = [[lengths.of(doc) if doc else np.zeros((0, 2), dtype=np.int64) for doc in docs] for docs in second]
     counts = np.zeros((2, 2, CELLS**2))

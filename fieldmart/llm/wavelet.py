@@ -1,4 +1,4 @@
-"""Token ids in wavelet-matrix files: access, rank, select, counting and search without unpacking."""
+"""Token ids in wavelet-matrix files: access, rank, select, counting and search on bit planes, which a read decompresses."""
 
 from __future__ import annotations
 

@@ -52,7 +52,6 @@ def test_pieces():
 def checked(rows, placed, capacity):
     """Whole documents, gapless sequences, right checksums; returns the number of sequences."""
     tokenizer = Tokenizer.from_file(default_tokenizer())
-    tokenizer.encode_special_tokens = True
     ids = [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for _, t in rows]
     expected = Counter()
     for (doc_id, _), own in zip(rows, ids, strict=True):
