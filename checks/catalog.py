@@ -375,9 +375,17 @@ def q_promo_flag(t):
 
 @register
 def q_segment_priority(t):
-    rows = attribute(t.calls, t.calendar)
-    plan = t.plan.select("ta", "afl_id", "spl_cyc", "cust_id", "sgmnt_prty")
-    found = look.lookup(rows, plan, {k: k for k in ("ta", "afl_id", "spl_cyc", "cust_id")})
+    on = {k: k for k in ("ta", "afl_id", "spl_cyc", "cust_id")}
+    kept = [*on, "sgmnt_prty"]
+    found = _look_up(
+        t,
+        t.plan_rows.distinct().select(*kept),
+        on,
+        "cust_id",
+        measured=t.plan_rows.select(*kept),
+        by=lambda count: distinct_by(t.plan_rows, count, "cust_id").select(*kept),
+        prepare=lambda calls: attribute(calls, t.calendar),
+    )
     return found.select(*CALL_KEY, "cust_id", "spl_cyc", "sgmnt_prty")
 
 
