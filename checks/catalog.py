@@ -114,7 +114,7 @@ def q_samples_scan(t):
 @register
 def q_cycle_scan(t):
     plan = mapped_table("cycle_plan", t.read("fx_cycle_plan"))
-    return plan.where(n.in_list_with_default(F.col("ta"), THERAPY_AREAS)).select(*CYCLE_COLUMNS).distinct()
+    return distinct_by(plan.where(n.in_list_with_default(F.col("ta"), THERAPY_AREAS)).select(*CYCLE_COLUMNS))
 
 
 @register
