@@ -335,8 +335,9 @@ def q_territory_status(t):
 @register
 def q_conditional_lookup(t):
     samples = t.read("fx_samples").select("call_id", "src_prod_nm", "sample_name", "quantity_vod__c")
-    on = {"call_id": "call_id", "src_prod_nm": "src_prod_nm"}
-    found = look.lookup(t.calls, samples, on, when=F.col("afl_id") == "FR")
+    # No key, no match: the condition on one key does for both.
+    on = {"call_id": "call_id", "src_prod_nm": F.when(F.col("afl_id") == "FR", F.col("src_prod_nm"))}
+    found = _look_up(t, samples, on, "call_id")
     return found.select(*CALL_KEY, "sample_name", "quantity_vod__c")
 
 
