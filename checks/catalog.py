@@ -310,7 +310,7 @@ def q_latest_snapshot(t):
 
 @register
 def q_dedup_lookup(t):
-    found = look.lookup(t.calls, look.active_customers(t.read("fx_cust")), {"eid": "cust_id"})
+    found = _look_up(t, look.active_customers(t.read("fx_cust")), {"eid": "cust_id"}, "cust_id")
     return found.select(*CALL_KEY, "primary_address_line_3", "primary_address_line_4")
 
 
