@@ -451,7 +451,10 @@ def q_data_product_runs(t):
 
 @register
 def q_final_projection(t):
-    calls = mapped_table("call_detail", t.read("fx_call_dtl_wide")).distinct()
+    calls = mapped_table("call_detail", t.read("fx_call_dtl_wide"))
+    # Most columns are the customer's, so rows of a customer side by side shuffle small.
+    count, hot = weighed([calls.select("cust_id")], WIDE)
+    calls = calls.distinct() if hot is not None else distinct_by(calls, count[0], "cust_id", limits=WIDE)
     found = {source for _, source in OUTPUT} | {"spl_cyc", "listed_flag", "ims"}
     rows = calls.withColumns({c: F.lit(None).cast("string") for c in sorted(found) if c not in calls.columns})
     return final_projection(rows, JobParams(data_source=DATA_SOURCE)).drop("last_data_refresh_timestamp")
