@@ -324,7 +324,7 @@ def q_history_union(t):
 
 @register
 def q_history_lookup(t):
-    found = look.lookup(t.calls, t.histories, {"id": "call_id"})
+    found = _look_up(t, t.histories, {"id": "call_id"}, "call_id")
     return found.select(*CALL_KEY, "source_g360_product_detailed", "entity_display_name_vod__c", "is_clm_call")
 
 
