@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, text_of
-from fieldmart.llm.tokenizing import default_tokenizer, encoder
+from fieldmart.llm.tokenizing import ROWS_AT_ONCE, default_tokenizer, encoder
 
 PIECES = "part int, doc_id long, piece int, start long, length long, ids_crc32 long, place long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -33,16 +33,16 @@ def _pieces_of(tokenizer: str, capacity: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = encoder(tokenizer).encode, defaultdict(int)
         for rows in batches:
-            out = []
-            encoded = encode(rows.column("text").to_pylist())
-            for (part, doc_id), ids in zip(lists(rows, "part", "doc_id"), encoded, strict=True):
-                ids, start = ids + end, 0
-                for number, length in enumerate(piece_lengths(len(ids) // 4, capacity)):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    out.append((part, doc_id, number, start, length, crc, seen[length]))
-                    seen[length] += 1
-                    start += length
-            yield batch_of_rows(PIECES, out)
+            for first in range(0, rows.num_rows, ROWS_AT_ONCE):
+                some, out = rows.slice(first, ROWS_AT_ONCE), []
+                for (part, doc_id), ids in zip(lists(some, "part", "doc_id"), encode(some.column("text")), strict=True):
+                    ids, start = ids + end, 0
+                    for number, length in enumerate(piece_lengths(len(ids) // 4, capacity)):
+                        crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
+                        out.append((part, doc_id, number, start, length, crc, seen[length]))
+                        seen[length] += 1
+                        start += length
+                yield batch_of_rows(PIECES, out)
 
     return cut
 
