@@ -59,21 +59,22 @@ class Encoder:
 
     def _learn(self, fresh: pa.Array) -> None:
         """Encodes new pieces as one text, whose ids are dealt out by the bytes that they stand for."""
-        pieces = fresh.to_pylist()
-        apart = np.array([bool(piece) and not piece[0].isspace() for piece in pieces])
-        text = "".join([" " + piece for piece, own in zip(pieces, apart, strict=True) if own])
-        sizes = np.where(apart, pc.binary_length(fresh).to_numpy() + 1, 0)
-        ids, cuts = self._ids([text])[0], np.cumsum(sizes)
+        first = pc.utf8_slice_codeunits(fresh, 0, 1)
+        apart = ~pc.or_(pc.utf8_is_space(first), pc.equal(first, "")).to_numpy(zero_copy_only=False)
+        able = fresh.filter(pa.array(apart))
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(able)], able), " ")[0].as_py()
+        ids = self._ids([" " + text if len(able) else ""])[0]
+        cuts = np.cumsum(np.where(apart, pc.binary_length(fresh).to_numpy() + 1, 0))
         bytes_before = np.concatenate([[0], np.cumsum(self.bytes_of[ids])])
         ends = np.searchsorted(bytes_before, cuts)
         if any(token in text for token in self.added) or (bytes_before.take(ends, mode="clip") != cuts).any():
-            each = self._ids([" " + piece if own else "" for piece, own in zip(pieces, apart, strict=True)])
+            each = self._ids([" " + piece if own else "" for piece, own in zip(fresh.to_pylist(), apart, strict=True)])
             ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
         self.pieces = pa.concat_arrays([self.pieces, fresh])
         self.ends = np.concatenate([self.ends, ends + len(self.ids)])
         self.ids = np.concatenate([self.ids, ids])
         self.apart = np.concatenate([self.apart, apart])
-        self.used = np.concatenate([self.used, np.zeros(len(pieces), dtype=np.int64)])
+        self.used = np.concatenate([self.used, np.zeros(len(fresh), dtype=np.int64)])
 
     def _forget(self) -> None:
         kept = np.sort(np.argsort(-self.used, kind="stable")[: self.limit // 2])
@@ -116,13 +117,13 @@ class Encoder:
         own[firsts[:-1]] = False  # a text's first piece has no space before it
         rest = pieces.filter(pa.array(own))
         found = pc.index_in(rest, value_set=self.pieces)
-        if found.null_count:
-            fresh = rest.filter(found.is_null()).unique()
-            more = pc.index_in(rest, value_set=fresh)
-            found = pc.coalesce(found, pc.add(more, pa.scalar(len(self.pieces), pa.int32())))
-            self._learn(fresh)
         chosen = np.empty(len(pieces), dtype=np.int64)
-        chosen[own] = found.to_numpy(zero_copy_only=False)
+        known = found.is_valid().to_numpy(zero_copy_only=False)
+        chosen[np.flatnonzero(own)[known]] = found.drop_null().to_numpy()
+        if found.null_count:
+            fresh = rest.filter(found.is_null()).dictionary_encode()
+            chosen[np.flatnonzero(own)[~known]] = len(self.pieces) + fresh.indices.to_numpy()
+            self._learn(fresh.dictionary)
         chosen[~own] = len(self.pieces) + np.arange(len(texts))
         ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in heads])])
         ids, piece_ends = _gather(np.concatenate([self.ids, *heads]), ends, chosen)

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, read_file, text_of, write_file
-from fieldmart.llm.tokenizing import default_tokenizer, encoder
+from fieldmart.llm.tokenizing import ROWS_AT_ONCE, default_tokenizer, encoder
 
 MAGIC = b"WMX1"
 BLOCK = 512  # bits between two entries of a rank directory
+CHUNK = 1 << 16  # ids whose places are held at a time
 SHARD_BYTES = 32 << 20  # text of one shard, near enough
 NULL_ID = -(2**63)
 
@@ -26,6 +27,35 @@ MANIFEST = "shard int, path string, docs long, tokens long"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+def _chunks(values: np.ndarray, ones: np.ndarray, zeros: int) -> Iterator[tuple]:
+    """Chunks of both, and the places of their ones and their zeros when all zeros come first."""
+    low, high = 0, zeros
+    for start in range(0, len(ones), CHUNK):
+        own = ones[start : start + CHUNK]
+        more = int(np.count_nonzero(own))
+        less = len(own) - more
+        yield values[start : start + CHUNK], own, slice(low, low + less), slice(high, high + more)
+        low, high = low + less, high + more
+
+
+def _parted(values: np.ndarray, ones: np.ndarray, zeros: int) -> np.ndarray:
+    """Values without a one first, then those with it, each in their order."""
+    out = np.empty_like(values)
+    for some, own, low, high in _chunks(values, ones, zeros):
+        np.compress(~own, some, out=out[low])
+        np.compress(own, some, out=out[high])
+    return out
+
+
+def _merged(values: np.ndarray, ones: np.ndarray, zeros: int) -> np.ndarray:
+    """The order before `_parted`."""
+    out = np.empty_like(values)
+    for some, own, low, high in _chunks(out, ones, zeros):
+        some[np.flatnonzero(~own)] = values[low]
+        some[np.flatnonzero(own)] = values[high]
+    return out
+
+
 class Plane:
     """Bits with rank and select."""
 
@@ -72,19 +102,18 @@ class WaveletMatrix:
         bits = bits or max(1, int(ids.max(initial=0)).bit_length())
         planes, zeros, now = [], [], ids
         for level in range(bits):
-            ones = (now >> (bits - 1 - level)) & 1 != 0
+            ones = (now & ids.dtype.type(1 << (bits - 1 - level))) != 0
             planes.append(Plane(np.packbits(ones), len(ids)))
-            zeros.append(len(ids) - int(ones.sum()))
-            now = np.concatenate([now[~ones], now[ones]])
+            zeros.append(len(ids) - int(np.count_nonzero(ones)))
+            if level < bits - 1:
+                now = _parted(now, ones, zeros[-1])
         return cls(planes, zeros, len(ids))
 
     def decode(self) -> np.ndarray:
-        values = np.zeros(self.length, dtype=np.uint32)
+        values = np.zeros(self.length, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
-            ones, above = plane.bits(), np.empty(self.length, dtype=np.uint32)
-            above[~ones] = values[:zeros]
-            above[ones] = values[zeros:] | np.uint32(1 << level)
-            values = above
+            values[zeros:] |= values.dtype.type(1 << level)
+            values = _merged(values, plane.bits(), zeros)
         return values
 
     def access(self, i: int) -> int:
@@ -163,16 +192,18 @@ def _written(folder: str, tokenizer: str, end_id: int):
         encode, end = encoder(tokenizer).encode, np.uint32(end_id).astype("<u4").tobytes()
         doc_ids, lengths, ids = [], [], []
         for rows in batches:
-            found = [x + end for x in encode(rows.column("text").to_pylist())]
-            doc_ids += rows.column("doc_id").to_pylist()
-            lengths += [len(x) // 4 for x in found]
-            whole = np.frombuffer(b"".join(found), dtype="<u4")
-            ids.append(whole.astype(np.uint16) if whole.max(initial=0) < 2**16 else whole)
+            doc_ids.append(rows.column("doc_id").to_numpy())
+            for first in range(0, rows.num_rows, ROWS_AT_ONCE):
+                found = [x + end for x in encode(rows.column("text").slice(first, ROWS_AT_ONCE))]
+                lengths.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4)
+                whole = np.frombuffer(b"".join(found), dtype="<u4")
+                ids.append(whole.astype(np.uint16) if whole.max(initial=0) < 2**16 else whole)
         if doc_ids:
             shard = TaskContext.get().partitionId()
             path = f"{folder}/shard-{shard:07d}.wmx"
-            matrix = WaveletMatrix.of(np.concatenate(ids))
-            write_file(path, to_file(np.array(doc_ids, dtype=np.int64), np.cumsum(lengths), matrix))
+            doc_ids, lengths, ids = np.concatenate(doc_ids), np.concatenate(lengths), np.concatenate(ids)
+            matrix = WaveletMatrix.of(ids)
+            write_file(path, to_file(doc_ids, np.cumsum(lengths), matrix))
             yield batch_of_rows(MANIFEST, [(shard, path, len(doc_ids), matrix.length)])
 
     return write
@@ -208,9 +239,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         for path, base in lists(rows, "path", "base"):
             doc_ids, ends, matrix = from_file(read_file(path))
-            ids = matrix.decode().astype("<u4", copy=False)
-            starts = np.concatenate([[0], ends[:-1]])
-            crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends, strict=True)]
+            ids, starts = matrix.decode(), np.concatenate([[0], ends[:-1]])
+            crcs = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(starts, ends, strict=True)]
             own = pa.array(doc_ids, mask=doc_ids == NULL_ID)
             yield batch(ROWS, [own, starts + base, ends - starts, crcs])
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -108,3 +109,38 @@ def test_added_tokens_are_the_library_s(documents, scratch):
     crc = {r.doc_id: (r.length, r.ids_crc32) for r in pack(documents(list(enumerate(texts))), scratch).collect()}
     ends = [np.array([*own, 2], dtype="<u4") for own in ids]
     assert crc == {i: (len(own), zlib.crc32(own.tobytes())) for i, own in enumerate(ends)}
+
+
+def test_breaks_at_a_space_are_encoded_apart(monkeypatch):
+    plain = Tokenizer.from_file(default_tokenizer())
+    texts = ["a\n b\n\nc d", " x  y", "one two\n three", "", " "]
+    encoder, asked = Encoder(default_tokenizer()), []
+    ids = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda some: asked.extend(some) or ids(some))
+    own = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode(texts)] == own
+    assert not set(asked) & set(texts[:3])
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode(["", "a  b", "a b"])] == [
+        plain.encode(text, add_special_tokens=False).ids for text in ["", "a  b", "a b"]
+    ]
+
+
+def test_remembered_pieces_take_few_bytes():
+    encoder = Encoder(default_tokenizer(), 200_000)
+    encoder.encode(["x"])
+    tracemalloc.start()
+    encoder.encode([" ".join(f"{i:x}q" for i in range(start, start + 1000)) for start in range(0, 60_000, 1000)])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(encoder.pieces) > 50_000 and held + encoder.pieces.nbytes < 8e6
+
+
+def test_most_used_pieces_stay():
+    encoder = Encoder(default_tokenizer(), 20)
+    encoder.encode(["the often often often"])
+    encoder.encode(["the often " + " ".join(f"w{i}" for i in range(30))])
+    assert "often" in encoder.pieces.to_pylist() and len(encoder.pieces) == 10
+
+
+def test_empty_columns():
+    assert Encoder(default_tokenizer()).encode([]) == []

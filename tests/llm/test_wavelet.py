@@ -1,10 +1,14 @@
 import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from fieldmart.llm import wavelet
 from fieldmart.llm.common import read_file
 from fieldmart.llm.tokenizing import default_tokenizer
 from fieldmart.llm.wavelet import WaveletMatrix, from_file, read_tokens, to_file, write_tokens
@@ -67,3 +71,25 @@ def test_added_tokens_are_one_id(documents, scratch):
     rows = [(1, "one text <|endoftext|> next"), (2, "<|endoftext|>"), (3, "after it")]
     got = {r.doc_id: r for r in read_tokens(write_tokens(documents(rows), scratch)).collect()}
     assert sorted(tuple(r) for r in got.values()) == sorted(expected(rows))
+
+
+def test_order_of_a_plane_in_chunks(monkeypatch):
+    monkeypatch.setattr(wavelet, "CHUNK", 7)
+    for dtype, top in ((np.uint16, 2**16), (np.uint32, 2**18)):
+        ids = np.random.default_rng(2).integers(0, top, 1000).astype(dtype)
+        for own in (ids, ids[:7], ids[:0], np.zeros(20, dtype)):
+            matrix = WaveletMatrix.of(own)
+            assert (matrix.decode() == own).all() and matrix.decode().dtype == (np.uint16 if len(matrix.planes) <= 16 else np.uint32)
+            assert [matrix.access(i) for i in range(min(50, len(own)))] == own[:50].tolist()
+
+
+def test_writing_holds_no_objects_for_each_word(monkeypatch, scratch):
+    monkeypatch.setattr(wavelet, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [" ".join(f"{i:x}q" for i in range(start, start + 1000)) for start in range(0, 60_000, 1000)]
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts})
+    write = wavelet._written(f"{scratch.path}/own", default_tokenizer(), 0)
+    tracemalloc.start()
+    found = list(write(iter([rows])))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert found[0].column("docs").to_pylist() == [60] and held < 12e6
