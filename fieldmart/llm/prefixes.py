@@ -8,6 +8,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -26,7 +27,6 @@ BLOCK = 2048  # members of a list in one block
 BROADCAST_ROWS = 500_000  # of one number
 SLACK = 2  # per cent, for what 32 bits can err
 WHOLE = 256  # sets up to this size travel whole, as 32 bits of each token, to where blocks are compared
-KNOWN_WORDS = 1 << 19  # words whose hashes a task remembers
 
 SIGNED = "row long, part int, doc_id long, digest binary, n long, ranked int, tokens array<long>, text string"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -44,17 +44,17 @@ def shingle_set(text: str, words: int = SHINGLE_WORDS) -> set[tuple[bytes, ...]]
     return set(zip(*[found[i:] for i in range(size)], strict=False)) if size else set()
 
 
-class WordHashes(dict):
+class WordHashes:
     """Keyed hashes of words. With a key drawn for each run nobody can make texts whose hashes meet."""
 
     def __init__(self, key: bytes):
-        self.key = key
+        self.key = blake2b(key, digest_size=16).digest().decode("latin-1")
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = self[word] = int.from_bytes(blake2b(word, digest_size=8, key=self.key).digest(), "little")
-        return found
+    def of(self, found: list[bytes]) -> np.ndarray:
+        """64 bits of SipHash for each word; nothing is remembered."""
+        values = np.empty(len(found), dtype=object)
+        values[:] = found
+        return hash_array(values, encoding="latin-1", hash_key=self.key, categorize=False)
 
 
 def tokens_of(text: str, words: int, hashes: WordHashes) -> np.ndarray:
@@ -63,12 +63,13 @@ def tokens_of(text: str, words: int, hashes: WordHashes) -> np.ndarray:
     size = min(words, len(found))
     if not size:
         return np.zeros(0, dtype=np.int64)
-    single = np.fromiter(map(hashes.__getitem__, found), dtype=np.uint64, count=len(found))
+    single = hashes.of(found)
     mixed = np.full(len(found) - size + 1, size, dtype=np.uint64)
     for i in range(size):
         mixed = (mixed ^ single[i : len(found) - size + 1 + i]) * _ODD
         mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed >> np.uint64(1)).astype(np.int64)
+    mixed = np.sort(mixed >> np.uint64(1))
+    return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])].astype(np.int64)
 
 
 def short_form(tokens: np.ndarray) -> bytes:
@@ -290,7 +291,8 @@ def similar_documents(
     """
     own = docs.select(F.spark_partition_id().alias("part"), docs["doc_id"].cast(LongType()).alias("doc_id"), text_of(docs).alias("text"))
     key = secrets.token_bytes(16)
-    rows = scratch.pin(own.mapInArrow(_signed(words, similar, key), SIGNED), "signed")
+    signed = scratch.pin(own.mapInArrow(_signed(words, similar, key), SIGNED), "signed")
+    rows = scratch.pin(signed.select("row", "part", "doc_id", "n", "digest"), "rows")
     some = rows.where("digest IS NOT NULL")
     leaves = some.groupBy("part", "digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     sets = leaves.groupBy("digest").agg(F.min("row").alias("set"), F.min("least").alias("least"))
@@ -299,7 +301,7 @@ def similar_documents(
     copies = some.select("row").join(sets.select(F.col("set").alias("row")), "row", "left_anti")
     copies = scratch.pin(copies, "copies")
     copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    own_rows = some.join(copies, "row", "left_anti").withColumnRenamed("row", "set")
+    own_rows = signed.where("digest IS NOT NULL").join(copies, "row", "left_anti").withColumnRenamed("row", "set")
     offered = own_rows.select("set", F.posexplode("tokens").alias("place", "token"))
     shared = offered.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
     shared = offered.join(shared, "token").groupBy("set").agg(F.collect_list(F.struct("token", "sets", "place")).alias("one"))
@@ -311,8 +313,9 @@ def similar_documents(
     entries = scratch.pin(entries, "entries")
     meeting = entries.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
     involved = entries.join(meeting.select("token"), "token").select("set").distinct()
-    texts = rows.select(F.col("row").alias("set"), "text").join(involved, "set")
+    texts = signed.select(F.col("row").alias("set"), "text").join(involved, "set")
     texts = scratch.pin(texts, "texts")
+    scratch.drop("signed")  # tokens and texts, the largest of the written tables
 
     roots, links, tested = None, None, None
     for turn, pivots in enumerate((*PIVOTS, None)):

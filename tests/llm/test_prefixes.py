@@ -1,12 +1,14 @@
 """The similarity join by adaptive prefixes against a plain version."""
 
 import random
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from fieldmart.llm import prefixes
-from fieldmart.llm.prefixes import choose, least_common, prefix_length, shingle_set, similar_documents
+from fieldmart.llm.prefixes import WordHashes, choose, least_common, prefix_length, shingle_set, similar_documents, tokens_of
 
 
 def plain(rows, words=4, similar=85):
@@ -134,3 +136,24 @@ def test_longer_prefixes_where_lists_are_long():
     late = choose(100, 100, tokens, np.concatenate([np.full(16, 900), np.full(84, 901)]), places, 85)
     assert late[0] > 1 and common[0] == 1 and rare[0] >= 1
     assert shingle_set("A b\tc") == {(b"a", b"b", b"c")}
+
+
+def test_word_hashes_are_keyed_and_remember_nothing():
+    hashes = WordHashes(b"one key")
+    words = [b"a", b"a\x00", b"\x00", b"\xc3\xa9", b"a"]
+    found = hashes.of(words)
+    assert len(set(found.tolist())) == 4 and found[0] == found[4]
+    assert not set(found.tolist()) & set(WordHashes(b"other key").of(words).tolist())
+    tracemalloc.start()
+    for start in range(0, 60_000, 1000):
+        tokens_of(" ".join(f"{i:x}q" for i in range(start, start + 1000)), 4, hashes)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 2e6
+
+
+def test_tokens_and_texts_go_when_the_pairs_are_compared(documents, scratch):
+    rows = [(i, f"a b c d e f g h i j k l m n o p q r s {i % 3}") for i in range(9)]
+    found = similar_documents(documents(rows), scratch)
+    assert not Path(scratch.path.removeprefix("file://"), "signed").exists()
+    assert len(found.collect()) == 9
