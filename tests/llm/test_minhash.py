@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fieldmart.llm import minhash
@@ -171,3 +172,16 @@ def test_components(spark, scratch):
             label[a] = label[b] = min(label[a], label[b])
     assert roots == {v: r for v, r in label.items() if v in roots}
     assert {v for a, b in edges if a != b for v in (a, b)} == set(roots)
+
+
+def test_texts_are_taken_from_a_batch_in_slices():
+    key, size = b"k" * 16, 3 * minhash.ROWS_AT_ONCE
+    texts = ["words of one text"] * size
+    name = minhash._name(minhash.shingles(texts[0], 5, minhash.WordHashes(key)), key)
+    names = [name if i % 2 else b"x" * 16 for i in range(size)]
+    rows = pa.RecordBatch.from_pydict({"set": list(range(size)), "name": names, "text": texts})
+    found = list(minhash._of_sets(5, key)(iter([rows])))
+    assert [x.num_rows for x in found] == [minhash.ROWS_AT_ONCE // 2] * 3
+    assert [s for x in found for s in x.column("set").to_pylist()] == list(range(1, size, 2))
+    wide = list(minhash._wide_sketches(5, key)(iter([rows])))
+    assert len(wide) == 3 and sum(x.num_rows for x in wide) == size
