@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldmart.llm.common import Scratch, text_of
+from fieldmart.llm.common import Scratch, text_of, tidy
 
 FAN_IN_BITS = 2  # four runs meet in one merge
 BUCKET_ROWS = 200_000  # distinct digests a final run should hold
@@ -117,7 +117,7 @@ def exact_dedup(
     rows = rows.withColumn("bucket", F.floor(leading * F.lit(buckets) / F.lit(2**32)).cast("int"))
     keyed = rows.withColumn("keep", F.coalesce(ordered("doc_id"), null))
 
-    runs = keyed.select("bucket", "node", *ENTRY.names[:4]).mapInPandas(_leaf_runs, RUN_SCHEMA)
+    runs = keyed.select("bucket", "node", *ENTRY.names[:4]).mapInPandas(tidy(_leaf_runs), RUN_SCHEMA)
     nodes = rows.agg(F.max("node")).first()[0] or 0
     while True:
         nodes >>= FAN_IN_BITS

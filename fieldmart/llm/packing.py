@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, text_of
+from fieldmart.llm.common import Scratch, batch, batch_of_rows, lists, text_of, tidy
 from fieldmart.llm.tokenizing import ROWS_AT_ONCE, default_tokenizer, encoder
 
 PIECES = "part int, doc_id long, piece int, start long, length long, ids_crc32 long, place long"
@@ -127,14 +127,14 @@ def pack(
         docs[id_column].cast(LongType()).alias("doc_id"),
         text_of(docs, text_column).alias("text"),
     )
-    cut = _pieces_of(tokenizer or default_tokenizer(), capacity, end_id)
+    cut = tidy(_pieces_of(tokenizer or default_tokenizer(), capacity, end_id), keeps=True)
     pieces = scratch.pin(source.mapInArrow(cut, PIECES), "pieces")
     by_part = pieces.groupBy("part", "length").agg(F.count("*").alias("count"))
     counts = {r["length"]: r["count"] for r in by_part.groupBy("length").agg(F.sum("count").alias("count")).collect()}
     moves = docs.sparkSession.sparkContext.broadcast(best_fit(counts, capacity))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", "length", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
-    return pieces.join(before, ["part", "length"]).mapInArrow(_placed_by(moves), PLACED)
+    return pieces.join(before, ["part", "length"]).mapInArrow(tidy(_placed_by(moves)), PLACED)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from fieldmart.llm.common import kept
+
 SLICE_BYTES = 4 << 20  # text that is encoded at a time
 ROWS_AT_ONCE = 2048  # texts whose ids a task holds, but for what it returns
 
@@ -136,7 +137,6 @@ class Encoder:
         return [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], apart
 
 
-@cache
 def encoder(path: str) -> Encoder:
-    """One encoder for each worker and vocabulary."""
-    return Encoder(path)
+    """The encoder that a worker keeps."""
+    return kept(("encoder", path), lambda: Encoder(path))

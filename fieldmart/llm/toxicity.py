@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldmart.llm.common import batch, lists, text_of
+from fieldmart.llm.common import batch, kept, lists, text_of, tidy
 
 PAD = b"\n" * 12  # the compressor does not look for matches in the last bytes of its input
 CELLS = 48  # lengths above are counted as this one
@@ -205,9 +205,8 @@ def fit(rows: list[tuple[str, int]], toxic_share: float, settings: Settings) ->
     return Model(settings, dictionaries, evidence, _logistic(features, labels, weight))
 
 
-@cache
 def _lengths_of(key: str, dictionaries: tuple[bytes, bytes], remembered: int) -> Lengths:
-    return Lengths(dictionaries, remembered)
+    return kept(("lengths", key, remembered), lambda: Lengths(dictionaries, remembered))
 
 
 def score_texts(model: Model, texts: list[str]) -> np.ndarray:
@@ -288,7 +287,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
         room = settings.sample_bytes * most // (settings.toxic_rows + settings.ordinary_rows)
         sizes = [row["size"] for row in sample.select(*ORDER).orderBy(*ORDER).limit(most).collect()]
         bound = _share_of_each(sizes, room, settings.document_bytes)
-        thin = sample.mapInArrow(_thinned(bound, settings.slice_bytes), SAMPLED)
+        thin = sample.mapInArrow(tidy(_thinned(bound, settings.slice_bytes)), SAMPLED)
         rows += [(r["text"], toxic) for r in thin.orderBy(*ORDER).limit(most).select("text").collect()]
     return fit(rows, counts.get(1, 0) / max(1, sum(counts.values())), settings)
 
@@ -315,7 +314,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     source = docs.select(docs["doc_id"].cast(LongType()).alias("doc_id"), text_of(docs).alias("text"))
     source = source.withColumn("held_out", held_out(F.col("doc_id")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return source.mapInArrow(_scored(shared), SCORED)
+    return source.mapInArrow(tidy(_scored(shared), keeps=True), SCORED)
 
 
 def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
@@ -329,4 +328,4 @@ def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
                 scores = score_texts(shared.value, [text or "" for (text,) in lists(some, "text")])
                 yield some.filter(pa.array(scores < shared.value.settings.cut))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep, keeps=True), docs.schema)
