@@ -303,12 +303,14 @@ def similar_documents(
     copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     own_rows = signed.where("digest IS NOT NULL").join(copies, "row", "left_anti").withColumnRenamed("row", "set")
     offered = own_rows.select("set", F.posexplode("tokens").alias("place", "token"))
-    shared = offered.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
-    shared = offered.join(shared, "token").groupBy("set").agg(F.collect_list(F.struct("token", "sets", "place")).alias("one"))
+    held = offered.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
+    held = scratch.pin(held, "held")  # its shuffle has all tokens, as that of the join: they do not lie on disk together
+    shared = offered.join(held, "token").groupBy("set").agg(F.collect_list(F.struct("token", "sets", "place")).alias("one"))
     shared = shared.select("set", *[F.col(f"one.{c}").alias(c) for c in ("token", "sets", "place")])
     shared = shared.withColumnsRenamed({"token": "tokens", "place": "places"})
     shared = shared.join(own_rows.select("set", "n", "ranked"), "set")
     prefixes = scratch.pin(shared.mapInArrow(_prefixes(similar), PREFIX), "prefixes")
+    scratch.drop("held")
     entries = prefixes.select("set", "n", F.explode(F.expr("slice(prefix, 1, first)")).alias("token"))
     entries = scratch.pin(entries, "entries")
     meeting = entries.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")

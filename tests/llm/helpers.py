@@ -1,6 +1,8 @@
 """Plain versions of what several tests compare with."""
 
 import re
+import time
+from pathlib import Path
 
 
 def grams(text, window=10):
@@ -25,3 +27,20 @@ def thue_morse(length):
     """Two different texts that every polynomial of their bytes modulo 2**64 maps to one value, if its base is odd."""
     signs = [bin(i).count("1") % 2 for i in range(length)]
     return ["".join("ab"[s ^ flip] for s in signs) for flip in (0, 1)]
+
+
+def shuffle_files(spark, but=None, up_to=0):
+    """Bytes of the shuffled data on disk, by file. With `but`, others than these, and as they go in the
+    background, after some seconds if there are more bytes than `up_to`."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    for _ in range(1 if but is None else 30):
+        found = {}
+        for path in (p for folder in folders for p in Path(folder).rglob("shuffle_*.data") if p not in (but or ())):
+            try:
+                found[path] = path.stat().st_size
+            except FileNotFoundError:
+                pass
+        if sum(found.values()) <= up_to:
+            break
+        time.sleep(0.1)
+    return found

@@ -4,12 +4,15 @@ import subprocess
 import sys
 import weakref
 
+import pytest
 from pyspark.sql import functions as F
 
 from fieldmart.llm import common, minhash
 from fieldmart.llm.tokenizing import default_tokenizer, encoder
 from fieldmart.llm.toxicity import Lengths, _lengths_of
 
+from .helpers import shuffle_files
+
 RETAINED = """
 import random, re, sys
 import pyarrow as pa
@@ -75,3 +78,30 @@ def test_an_encoder_s_task_returns_free_memory():
     """About 60 MB stay for the encoder itself, and some 100 where nothing is given back."""
     out = subprocess.run([sys.executable, "-c", RETAINED], capture_output=True, text=True, check=True).stdout.split()
     assert int(out[0]) >= 12 * 1500 and float(out[1]) < 80
+
+
+def test_shuffle_files_behind_a_written_table_go(spark, scratch):
+    """The test session's driver has memory enough not to collect its garbage meanwhile."""
+    there = shuffle_files(spark)
+    rows = spark.range(5000).groupBy((F.col("id") % 977).alias("x")).agg(F.count("*").alias("n"))
+    pinned = scratch.pin(rows, "rows")
+    assert not shuffle_files(spark, there)
+    assert {r.n for r in pinned.where("x < 114").collect()} == {6} and pinned.count() == 977
+    rows.join(pinned.select("x"), "x").count()
+    assert scratch.pin(rows, "rows").count() == rows.count() == 977
+
+
+def test_the_session_keeps_its_own_setting_for_shuffle_files(spark, scratch):
+    name = common.SHUFFLES_GO
+    before = spark.conf.get(name, None)
+    scratch.pin(spark.range(3), "rows")
+    assert spark.conf.get(name, None) == before
+    with pytest.raises(Exception, match="divide"):
+        scratch.pin(spark.range(3).select(F.expr("raise_error('cannot divide')").alias("x").cast("string")), "wrong")
+    assert spark.conf.get(name, None) == before
+    spark.conf.set(name, "false")
+    try:
+        scratch.pin(spark.range(3), "rows")
+        assert spark.conf.get(name) == "false"
+    finally:
+        spark.conf.unset(name)

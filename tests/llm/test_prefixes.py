@@ -10,6 +10,8 @@ import pytest
 from fieldmart.llm import prefixes
 from fieldmart.llm.prefixes import WordHashes, choose, least_common, prefix_length, shingle_set, similar_documents, tokens_of
 
+from .helpers import shuffle_files
+
 
 def plain(rows, words=4, similar=85):
     import re
@@ -157,3 +159,19 @@ def test_tokens_and_texts_go_when_the_pairs_are_compared(documents, scratch):
     found = similar_documents(documents(rows), scratch)
     assert not Path(scratch.path.removeprefix("file://"), "signed").exists()
     assert len(found.collect()) == 9
+
+
+def test_no_shuffle_of_tokens_outlives_its_table(documents, scratch, spark, monkeypatch):
+    """All tokens are shuffled to be counted and again for the join; the first is gone when the second is made."""
+    rows, pin, left, there = family(7, 30, 4, 0.05), scratch.pin, {}, shuffle_files(spark)
+
+    def watched(df, name):
+        found = pin(df, name)
+        left[name] = sum(shuffle_files(spark, there, 5000).values())
+        return found
+
+    monkeypatch.setattr(scratch, "pin", watched)
+    assert joined(documents(rows), scratch) == plain(rows)
+    assert list(left).index("held") < list(left).index("prefixes")
+    assert max(left.values()) < 5000  # of counts
+    assert not Path(scratch.path.removeprefix("file://"), "held").exists()
