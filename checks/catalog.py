@@ -16,7 +16,7 @@ from fieldmart.operators import lookups as look
 from fieldmart.operators import waterfall as wf
 from fieldmart.operators.attribution import attribute, overlap_count, with_one_cycle
 from fieldmart.operators.sizing import fits
-from fieldmart.operators.skew import distinct_by, split_hot, together, weighed
+from fieldmart.operators.skew import distinct_by, distinct_in_place, split_hot, together, weighed
 from fieldmart.params import JobParams
 from fieldmart.plans.product import build_product, final_projection
 from fieldmart.plans.runs import build_products
@@ -27,7 +27,6 @@ from fieldmart.sources.tables import map_all, mapped, mapped_table, table_name
 AFFILIATE = "DE"
 THERAPY_AREAS = ("ECONOMY", "MEDIUM", n.UNASSIGNED_TA)
 DATA_SOURCE = "CRM"
-WIDE = Limits(task_rows=125_000)  # for rows of all call columns
 CALL_KEY = ["call_id", "brd_nm", "src_prod_nm", "ta", "afl_id", "wtg"]
 
 REGISTRY: dict = {}
@@ -454,10 +453,7 @@ def q_data_product_runs(t):
 
 @register
 def q_final_projection(t):
-    calls = mapped_table("call_detail", t.read("fx_call_dtl_wide"))
-    # Most columns are the customer's, so rows of a customer side by side shuffle small.
-    count, hot = weighed([calls.select("cust_id")], WIDE)
-    calls = calls.distinct() if hot is not None else distinct_by(calls, count[0], "cust_id", limits=WIDE)
+    calls = distinct_in_place(mapped_table("call_detail", t.read("fx_call_dtl_wide")))
     found = {source for _, source in OUTPUT} | {"spl_cyc", "listed_flag", "ims"}
     rows = calls.withColumns({c: F.lit(None).cast("string") for c in sorted(found) if c not in calls.columns})
     return final_projection(rows, JobParams(data_source=DATA_SOURCE)).drop("last_data_refresh_timestamp")

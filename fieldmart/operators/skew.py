@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmart.limits import DEFAULT, Limits
 from fieldmart.operators.sizing import fits
-from fieldmart.session import pin
+from fieldmart.session import in_buckets, pin, tune
 
 NULL_SPREAD = 1 << 16  # rows with a NULL key match nothing and may lie anywhere
 
@@ -89,6 +89,27 @@ def distinct_by(df: DataFrame, rows: int | None = None, *keys: str, limits: Limi
     return together(df, rows, *(keys or df.columns), limits=limits).distinct()
 
 
+def distinct_in_place(df: DataFrame) -> DataFrame:
+    """The distinct rows of wide rows, of which only those are shuffled that may be there more than once.
+
+    df is written once, where its tasks make the rows. A hash of each row and the number of its task travel; a row
+    whose hash no other has stays where it lies, the others are brought together and compared whole. A row counts
+    once a task, so that one that is there very often travels as often as there are tasks.
+    """
+    tune(df.sparkSession)  # rows stay for all keys that contain their task
+    # As a distinct gives them: 0.0 for -0.0.
+    floating = {c: (F.col(f"`{c}`") + F.lit(0)).cast(kind) for c, kind in df.dtypes if kind in ("double", "float")}
+    df = df.withColumns(floating) if floating else df
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    rows = in_buckets(df.withColumn("__part", F.spark_partition_id()), "__part")
+    hashed = rows.withColumn("__hash", _row_hash(df))
+    counts = hashed.groupBy("__part", "__hash").agg(F.count("*").alias("__n"))
+    everywhere = F.sum("__n").over(Window.partitionBy("__hash"))
+    met = counts.withColumn("__n", everywhere).where("__n > 1").select("__part", "__hash").hint("shuffle_hash")
+    alone, several = (hashed.join(met, ["__part", "__hash"], how).select(*columns) for how in ("left_anti", "left_semi"))
+    return alone.unionByName(several.distinct())
+
+
 def split_hot(
     df: DataFrame, key: str, hot: DataFrame, limits: Limits = DEFAULT
 ) -> tuple[DataFrame, DataFrame]:

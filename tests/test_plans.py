@@ -96,6 +96,15 @@ def test_calls_bucketed_by_id_are_not_shuffled(spark, paths, no_automatic_broadc
         spark.sql("DROP TABLE bucketed_calls")
 
 
+def test_final_projection_shuffles_only_wide_rows_met_twice(spark, sf_dir, no_automatic_broadcast):
+    found = catalog.q_final_projection(catalog.Inputs(spark, sf_dir))
+    lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    shuffled = [line.split("hashpartitioning(")[1] for line in lines if "Exchange hashpartitioning(" in line]
+    assert len(shuffled) == 5
+    # The tasks and hashes of rows, and rows whose hash was met before: compared whole, by all their columns.
+    assert [keys.count("#") > 10 for keys in sorted(shuffled, key=len)] == [False] * 4 + [True]
+
+
 def test_lookups_of_other_affiliates_are_left_out(spark, paths):
     tables = from_parquet(spark, paths)
     df = build_product(tables, JobParams(affiliate="JP"))
