@@ -1,8 +1,10 @@
 """What a task holds is bounded by its part of the rows, and wide rows are shuffled once."""
 
 import random
+import shutil
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -81,3 +83,21 @@ def test_look_up_shuffles_wide_calls_once(spark):
     found = catalog._look_up(t, _samples(spark), {"call_id": "call_id", "src_prod_nm": "src_prod_nm"}, "call_id", limits=SHUFFLED)
     wide = [line for line in executed(found).splitlines() if "Exchange" in line]
     assert len(wide) == 2  # the calls, and the samples
+
+
+def test_whole_product_reads_joined_stand_ins_as_written_once(spark, sf_dir, tmp_path):
+    shutil.copytree(sf_dir, tmp_path / "in")
+    inputs = catalog.Inputs(spark, str(tmp_path / "in"))
+    for late in (False, True):
+        made = catalog.product(inputs, flags_after_enrichment=late)
+        assert not [file for file in made.inputFiles() if "lineitem" in file]
+    one = catalog.product(inputs, affiliate="DE")
+    assert [file for file in one.inputFiles() if "lineitem" in file]
+    calls = inputs.made_once("fx_call_dtl_wide")
+    assert rows(calls) == rows(inputs.read("fx_call_dtl_wide"))
+    assert calls.inputFiles() == inputs.made_once("fx_call_dtl_wide").inputFiles()
+    # Other files are another table.
+    half = pq.read_table(f"{sf_dir}/lineitem.parquet").slice(0, 1000)
+    (tmp_path / "in" / "lineitem.parquet").chmod(0o600)
+    pq.write_table(half, tmp_path / "in" / "lineitem.parquet")
+    assert inputs.made_once("fx_call_dtl_wide").count() == inputs.read("fx_call_dtl_wide").count() < calls.count()
